@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from noticemill.functions.text import encode_cyrillic
 from noticemill.operators.skew import number_rows
+from noticemill.session import new_path
 
 FIXTURE_SQL = {
     "notices": """
@@ -67,36 +68,76 @@ NUMBERED_NOTICES_SQL = "(select n.*, row_number() over (partition by search_id o
 
 
 
+# The fixtures that stand for landed tables, and the column they are partitioned by.
+LANDED = {
+    "notices": "law",
+    "registry": "law",
+    "detail_pages": None,
+    "search_cards": None,
+    "search_pages": None,
+    "items": None,
+    "code_tree": None,
+}
+
+# Rows of one landed file: small ones, so that even small tables are read by several tasks.
+FILE_ROWS = 20_000
+
+# Where they were written, by application, source folder and name.
+_landed_at: dict[tuple[str, str, str], str] = {}
+
+
 class Fixtures:
-    """The given tables and the fixtures as DataFrames."""
+    """The given tables and the fixtures as DataFrames.
+
+    Fixtures in `LANDED` are written to the shared folder when first asked for, as the
+    engine reads landed tables; the others are views.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in FIXTURE_SQL:
-            return self._sql(FIXTURE_SQL[name])
         if name.startswith("_"):
             raise AttributeError(name)
+        if name in LANDED:
+            return self._land(name)
+        if name in FIXTURE_SQL:
+            return self._sql(FIXTURE_SQL[name])
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def _land(self, name: str) -> DataFrame:
+        own = getattr(type(self), f"derived_{name}", None)
+        derived = own(self) if own else self._sql(FIXTURE_SQL[name])
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _landed_at:
+            path = new_path(self.spark, name)
+            by = LANDED[name]
+            writer = derived.write if by is None else derived.hint("rebalance", by).write.partitionBy(by)
+            writer.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+            _landed_at[key] = path
+        return self.spark.read.schema(derived.schema).parquet(_landed_at[key]).select(*derived.columns)
+
     def _sql(self, sql: str, **tables: DataFrame) -> DataFrame:
         names = re.findall(r"\{(\w+)\}", sql)
         return self.spark.sql(sql, **{n: tables.get(n) if n in tables else getattr(self, n) for n in names})
 
+    def derived_code_tree(self) -> DataFrame:
+        """The rows of the `code_tree` SQL from one pass over the items."""
+        cuts = [F.substring("code", 1, n) for n in (2, 4, 5, 7, 8)]
+        group = F.concat(F.substring("code", 1, 11), F.lit("0"))
+        return self.items.select(F.explode(F.array(*cuts, group, "code")).alias("code")).distinct()
+
     @property
     def hrefs(self) -> DataFrame:
         """Notices with their link."""
         return self.notices.withColumn("href", F.concat(F.lit("https://t.example/n/"), "notice_num"))
 
-    @property
-    def search_cards(self) -> DataFrame:
+    def derived_search_cards(self) -> DataFrame:
         numbered = number_rows(self.notices, ["search_id"], "notice_id").withColumn("rn", F.col("row_pos") + 1)
         return self._sql(SEARCH_CARDS_SQL, numbered_notices=numbered)
 
-    @property
-    def search_pages(self) -> DataFrame:
+    def derived_search_pages(self) -> DataFrame:
         """Result pages as HTML; a page has at most ten cards."""
         card = F.concat(
             F.lit('<div class="card-item wide"><div class="card-item__about"><br><a class="t" href="'),

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticemill.session import stage
+
 
 def resolved_codes(codes: DataFrame, tree: DataFrame) -> DataFrame:
     """The (list_id, code) rows whose code is a node of the tree."""
@@ -70,12 +72,8 @@ def code_suggestions(unresolved: DataFrame, tree: DataFrame) -> DataFrame:
 def selected_codes(codes: DataFrame, tree: DataFrame) -> DataFrame:
     """Resolved codes, and for each other code its suggestion in place of it."""
     suggested = code_suggestions(unresolved_codes(codes, tree), tree)
-    return (
-        resolved_codes(codes, tree)
-        .select("list_id", "code")
-        .unionByName(suggested.select("list_id", F.col("suggestion").alias("code")))
-        .distinct()
-    )
+    suggested = suggested.select("list_id", F.col("suggestion").alias("code"))
+    return resolved_codes(codes, tree).select("list_id", "code").unionByName(suggested).distinct()
 
 
 def unmatched_codes(codes: DataFrame, tree: DataFrame) -> DataFrame:
@@ -85,5 +83,9 @@ def unmatched_codes(codes: DataFrame, tree: DataFrame) -> DataFrame:
 
 
 def code_search(items: DataFrame, codes: DataFrame, tree: DataFrame) -> DataFrame:
-    """Distinct (list_id, item_id) for whole code lists; an unmatched list finds nothing."""
-    return code_subtree(items, selected_codes(codes, tree))
+    """Distinct (list_id, item_id) for whole code lists; an unmatched list finds nothing.
+
+    The selected codes are written first: they are few, and the items are then searched in
+    one pass with a join that Spark picks by their true size.
+    """
+    return code_subtree(items, stage(selected_codes(codes, tree), "codes"))

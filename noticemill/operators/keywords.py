@@ -10,7 +10,7 @@ the chunked mode makes each chunk one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import and_, or_
 
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticemill.operators.chunks import chunk_terms
+from noticemill.session import stage
 
 try:
     import ahocorasick
@@ -62,29 +63,40 @@ def keyword_matches(texts: DataFrame, clauses: DataFrame, id_col: str, text_col:
     Few terms: one pass over the texts with the lists as predicates, no shuffle at all.
     Many terms: one pass that finds the terms, then joins of ids and terms.
     """
-    inline = clauses.limit(LITERAL_TERMS + 1).collect()
-    if len(inline) > LITERAL_TERMS:
+    inline = _rows_up_to(clauses, LITERAL_TERMS)
+    if inline is None:
         return lists_satisfied(found_terms(texts, clauses.select("term"), [id_col], text_col), clauses, id_col)
-
-    by_list: dict[str, dict[str, list[str]]] = {}
-    for list_id, clause, term in sorted(inline):
-        by_list.setdefault(list_id, {}).setdefault(clause, []).append(term)
     lowered = texts.select(id_col, F.lower(text_col).alias("_text"))
-    has = lambda term: F.contains(F.col("_text"), F.lit(term))
-    matched = [
-        F.when(reduce(or_, [reduce(and_, map(has, terms)) for terms in list_clauses.values()]), F.lit(list_id))
-        for list_id, list_clauses in by_list.items()
-    ]
-    return lowered.select(F.explode(_present(matched)).alias("list_id"), id_col)
+    matched = _matched_lists(inline, lambda term: F.contains(F.col("_text"), F.lit(term)))
+    return lowered.select(F.explode(matched).alias("list_id"), id_col)
+
+
+def _rows_up_to(table: DataFrame, limit: int) -> list | None:
+    """The rows of a small table in order; None when there are more than `limit`."""
+    rows = table.limit(limit + 1).collect()
+    return sorted(rows) if len(rows) <= limit else None
+
+
+def _matched_lists(clauses: list, has: Callable[[str], Column]) -> Column:
+    """Array of the lists of which some clause has all its terms, as plain predicates."""
+    by_list: dict[str, dict[str, list[Column]]] = {}
+    for list_id, clause, term in clauses:
+        by_list.setdefault(list_id, {}).setdefault(clause, []).append(has(term))
+    return _present(
+        [
+            F.when(reduce(or_, [reduce(and_, terms) for terms in of_list.values()]), F.lit(list_id))
+            for list_id, of_list in by_list.items()
+        ]
+    )
 
 
 def found_terms(texts: DataFrame, terms: DataFrame, id_cols: list[str], text_col: str = "text") -> DataFrame:
     """(ids…, term) for every term a text contains, each once per text. No text is shuffled."""
     terms = terms.select("term").distinct()
-    inline = [row.term for row in terms.limit(LITERAL_TERMS + 1).collect()]
     lowered = texts.select(*id_cols, F.lower(text_col).alias("_text"))
-    if len(inline) <= LITERAL_TERMS:
-        found = [F.when(F.contains(F.col("_text"), F.lit(term)), F.lit(term)) for term in sorted(inline)]
+    inline = _rows_up_to(terms, LITERAL_TERMS)
+    if inline is not None:
+        found = [F.when(F.contains(F.col("_text"), F.lit(term)), F.lit(term)) for (term,) in inline]
         return lowered.select(*id_cols, F.explode(_present(found)).alias("term"))
 
     slices = -(-terms.count() // DICTIONARY_TERMS)
@@ -125,21 +137,37 @@ def _dictionary_search(terms: DataFrame):
 def lists_satisfied(found: DataFrame, clauses: DataFrame, id_col: str) -> DataFrame:
     """Distinct (list_id, id) from the terms found per id: some clause has all its terms.
 
-    Only ids and terms move. Found terms are made distinct before the join (combined in
-    the map tasks), and the join is spread over `TERM_SPLITS` copies of the clauses.
+    Only ids and terms move. An id is tried for a clause only when it has the clause's
+    rarest term, so terms found almost everywhere do not multiply ids by lists; what is
+    tried is then checked term by term. Every join that may meet a frequent term or a list
+    with very many matches is spread over `TERM_SPLITS` copies of the clause side.
     """
-    splits = F.pmod(F.xxhash64(id_col), F.lit(TERM_SPLITS)).cast("int")
-    spread = found.select(id_col, "term").distinct().withColumn("_salt", splits)
-    sizes = clauses.groupBy("list_id", "clause").agg(F.count(F.lit(1)).alias("_size"))
-    sized = clauses.join(sizes, ["list_id", "clause"])
-    copies = sized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(TERM_SPLITS - 1))))
-    hits = spread.join(copies, ["term", "_salt"])
+    found = found.join(clauses.select("term").distinct(), "term", "left_semi").select(id_col, "term").distinct()
+    found = stage(found, "found")  # read three times below; search the texts once
+    frequency = found.groupBy("term").agg(F.count(F.lit(1)).alias("_ids"))
+    rarity = F.struct(F.coalesce("_ids", F.lit(0)), F.col("term").alias("term"))
+    per_clause = (
+        clauses.join(frequency, "term", "left")
+        .groupBy("list_id", "clause")
+        .agg(F.min(rarity).getField("term").alias("term"), F.count(F.lit(1)).alias("_size"))
+    )
+    tried = _spread_join(found, per_clause, ["term"], id_col).drop("term")
+    single = tried.filter(F.col("_size") == 1).select("list_id", id_col)
+    wanted = _spread_join(tried.filter(F.col("_size") > 1), clauses, ["list_id", "clause"], id_col)
     complete = (
-        hits.groupBy("list_id", "clause", id_col, "_size")
+        wanted.join(found, [id_col, "term"], "left_semi")
+        .groupBy("list_id", "clause", id_col, "_size")
         .agg(F.count(F.lit(1)).alias("_found"))
         .filter(F.col("_found") == F.col("_size"))
+        .select("list_id", id_col)
     )
-    return complete.select("list_id", id_col).distinct()
+    return single.unionByName(complete).distinct()
+
+
+def _spread_join(rows: DataFrame, table: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    salt = F.pmod(F.xxhash64(id_col), F.lit(TERM_SPLITS)).cast("int")
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(TERM_SPLITS - 1))))
+    return rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"]).drop("_salt")
 
 
 def attachment_matches(
@@ -151,7 +179,14 @@ def attachment_matches(
     be in different parts.
     """
     parts = notice_texts.select(id_col, text_col).unionByName(attachments.select(id_col, text_col))
-    return lists_satisfied(found_terms(parts, clauses.select("term"), [id_col], text_col), clauses, id_col)
+    found = found_terms(parts, clauses.select("term"), [id_col], text_col)
+    inline = _rows_up_to(clauses, LITERAL_TERMS)
+    if inline is None:
+        return lists_satisfied(found, clauses, id_col)
+    # at most LITERAL_TERMS different terms, combined in the map tasks: any number of parts is fine
+    per_id = found.groupBy(id_col).agg(F.collect_set("term").alias("_found"))
+    matched = _matched_lists(inline, lambda term: F.array_contains("_found", F.lit(term)))
+    return per_id.select(F.explode(matched).alias("list_id"), id_col)
 
 
 def token_matches(texts: DataFrame, clauses: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:

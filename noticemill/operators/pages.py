@@ -29,7 +29,12 @@ def contiguous_pages(cards: DataFrame) -> DataFrame:
 
 
 def with_notice_numbers(cards: DataFrame, label: str = "label") -> DataFrame:
-    return cards.withColumn("notice_num", text.notice_number(F.col(label)))
+    """Adds `notice_num`, NULL when the label has none.
+
+    The one-element explode has the pattern run once per card: a plain column would be
+    copied into every filter that uses the number.
+    """
+    return cards.select("*", F.explode(F.array(text.notice_number(F.col(label)))).alias("notice_num"))
 
 
 def hit_counts(cards: DataFrame) -> DataFrame:

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Keys the frequent-items sketch reports and keys it tracks. A key that holds more than
-# about 1/1000 of all rows is certain to be among them.
+# about 1/100 of all rows is certain to be among them.
 HOT_KEYS = 64
-TRACKED_KEYS = 8192
+TRACKED_KEYS = 4096
+# The sketches of the map tasks are merged in this many groups first, then once more.
+SKETCH_GROUPS = 256
 
 # Rows of one position block in `number_rows`.
 BLOCK_ROWS = 65536
@@ -21,12 +23,16 @@ def _key_hash(keys: list[str]) -> Column:
 def hot_key_hashes(rows: DataFrame, keys: list[str]) -> Column:
     """Hashes of the most frequent keys, as an array that Spark computes in a subquery.
 
-    One pass over the key columns, combined in the map tasks; the result has at most
-    `HOT_KEYS` numbers whatever the size of `rows`.
+    One pass over the key columns, combined in the map tasks and merged in two steps; the
+    result has at most `HOT_KEYS` numbers whatever the size of `rows`.
     """
-    top = F.expr(f"transform(approx_top_k(_key, {HOT_KEYS}, {TRACKED_KEYS}), t -> t.item)")
-    hashes = rows.select(_key_hash(keys).alias("_key")).agg(top.alias("_hot")).scalar()
-    return F.coalesce(hashes, F.array().cast("array<bigint>"))
+    hashes = rows.select(
+        _key_hash(keys).alias("_key"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    )
+    sketches = hashes.groupBy("_group").agg(F.expr(f"approx_top_k_accumulate(_key, {TRACKED_KEYS})").alias("_sketch"))
+    merged = f"approx_top_k_estimate(approx_top_k_combine(_sketch, {TRACKED_KEYS}), {HOT_KEYS})"
+    hot = sketches.agg(F.expr(f"transform({merged}, t -> t.item)").alias("_hot"))
+    return F.coalesce(hot.scalar(), F.array().cast("array<bigint>"))
 
 
 def skew_join(
@@ -45,7 +51,7 @@ def skew_join(
     part = F.pmod(F.xxhash64(*rows.columns), F.lit(splits)).cast("int")
     salted = rows.withColumn("_salt", F.when(is_hot, part).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
-    spread = table.withColumn("_copies", copies).withColumn("_salt", F.explode("_copies")).drop("_copies")
+    spread = table.select("*", F.explode(copies).alias("_salt"))
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,60 +22,78 @@ CARD_TYPE = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.
 # Tags that have no end tag and so do not nest.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
+# Comments, scripts and styles are passed over; group 2 is `/` of an end tag, 3 the name, 4 the attributes.
+_TAG = re.compile(
+    r"""<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    re.IGNORECASE | re.DOTALL,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
-class CardParser(HTMLParser):
-    """Collects (label, href) of the first anchor in the about block of each card."""
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.cards: list[tuple[str | None, str | None]] = []
-        self._open: list[tuple[str, str]] = []  # (tag, role) of the open elements
-        self._anchor: tuple[str | None, list[str]] | None = None
-
-    def _inside(self, role: str) -> bool:
-        return any(r == role for _, r in self._open)
-
-    def _role(self, tag: str, attrs: dict[str, str | None]) -> str:
-        if tag == "div":
-            if attrs.get("id") == CONTENT_ID:
-                return "content"
-            classes = (attrs.get("class") or "").split()
-            if CARD_CLASS in classes and self._inside("content"):
-                return "card"
-            if ABOUT_CLASS in classes and self._inside("card"):
-                return "about"
-        return "a" if tag == "a" and self._inside("about") else ""
-
-    def handle_starttag(self, tag, attrs):
-        attrs = dict(attrs)
-        role = self._role(tag, attrs)
-        if role == "card":
-            self.cards.append((None, None))
-        elif role == "a" and self._anchor is None and self.cards and self.cards[-1] == (None, None):
-            self._anchor = (attrs.get("href"), [])
-        if tag not in VOID_TAGS:
-            self._open.append((tag, role))
-
-    def handle_endtag(self, tag):
-        while any(t == tag for t, _ in self._open):
-            closed, role = self._open.pop()
-            if role == "a" and self._anchor is not None:
-                href, words = self._anchor
-                self.cards[-1] = ("".join(words), href)
-                self._anchor = None
-            if closed == tag:
-                break
-
-    def handle_data(self, data):
-        if self._anchor is not None:
-            self._anchor[1].append(data)
+def _attributes(text: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), unescape(double or single or bare))
+    return found
 
 
 def parse_cards(html: str | None) -> list[dict[str, str | None]]:
-    parser = CardParser()
-    parser.feed(html or "")
-    parser.close()
-    return [{"label": label, "href": href} for label, href in parser.cards]
+    """(label, href) of the first anchor in the about block of each card."""
+    html = html or ""
+    cards: list[dict[str, str | None]] = []
+    stack: list[tuple[str, str]] = []  # (tag, role) of the open elements
+    inside = {"content": 0, "card": 0, "about": 0}
+    label: list[str] | None = None  # text of the card's anchor while that is open
+    end = 0
+
+    def pop_to(tag: str) -> None:
+        """Close `tag` and whatever was left open inside it."""
+        nonlocal label
+        while stack:
+            name, role = stack.pop()
+            if role == "link":
+                cards[-1]["label"] = unescape("".join(label or ()))
+                label = None
+            elif role:
+                inside[role] -= 1
+            if name == tag:
+                return
+
+    for match in _TAG.finditer(html):
+        if label is not None:
+            label.append(html[end : match.start()])
+        end = match.end()
+        tag = (match[3] or "").lower()
+        if not tag or tag in VOID_TAGS:
+            continue
+        if match[2]:
+            if any(name == tag for name, _ in reversed(stack)):
+                pop_to(tag)
+            continue
+        role = ""
+        if tag == "div":
+            attributes = _attributes(match[4])
+            classes = attributes.get("class", "").split()
+            if inside["card"] and ABOUT_CLASS in classes:
+                role = "about"
+            elif inside["content"] and CARD_CLASS in classes:
+                role = "card"
+                cards.append({"label": None, "href": None})
+            elif attributes.get("id") == CONTENT_ID:
+                role = "content"
+        elif tag == "a" and inside["about"] and label is None and cards[-1]["label"] is None:
+            role = "link"
+            cards[-1]["href"] = _attributes(match[4]).get("href")
+            label = []
+        if role in inside:
+            inside[role] += 1
+        stack.append((tag, role))
+        if match[4].endswith("/"):
+            pop_to(tag)
+    if label is not None:
+        label.append(html[end:])
+        pop_to("")
+    return cards
 
 
 @F.pandas_udf(CARD_TYPE)

@@ -43,7 +43,8 @@ def parse_cards(html: str | None) -> list[dict[str, str | None]]:
     cards: list[dict[str, str | None]] = []
     stack: list[tuple[str, str]] = []  # (tag, role) of the open elements
     inside = {"content": 0, "card": 0, "about": 0}
-    label: list[str] | None = None  # text of the card's anchor while that is open
+    linked: dict[str, str | None] = {}  # the card whose anchor is open
+    label: list[str] | None = None  # the text of that anchor so far
     end = 0
 
     def pop_to(tag: str) -> None:
@@ -52,7 +53,7 @@ def parse_cards(html: str | None) -> list[dict[str, str | None]]:
         while stack:
             name, role = stack.pop()
             if role == "link":
-                cards[-1]["label"] = unescape("".join(label or ()))
+                linked["label"] = unescape("".join(label or ()))
                 label = None
             elif role:
                 inside[role] -= 1
@@ -82,9 +83,8 @@ def parse_cards(html: str | None) -> list[dict[str, str | None]]:
             elif attributes.get("id") == CONTENT_ID:
                 role = "content"
         elif tag == "a" and inside["about"] and label is None and cards[-1]["label"] is None:
-            role = "link"
-            cards[-1]["href"] = _attributes(match[4]).get("href")
-            label = []
+            role, linked, label = "link", cards[-1], []
+            linked["href"] = _attributes(match[4]).get("href")
         if role in inside:
             inside[role] += 1
         stack.append((tag, role))

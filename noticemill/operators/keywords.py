@@ -11,7 +11,7 @@ the chunked mode makes each chunk one.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Collection, Iterator
 from functools import reduce
 from itertools import chain
 from operator import and_, or_
@@ -120,9 +120,9 @@ def _present(values: list[Column]) -> Column:
     return F.array_compact(F.array(*values).cast("array<string>"))
 
 
-def _finder(words: Iterable[str]) -> Callable[[str], set[str]]:
+def _finder(words: Collection[str]) -> Callable[[str], set[str]]:
     """A function that gives the words a text contains, in one pass over the text."""
-    if ahocorasick is None:
+    if ahocorasick is None or not words:
         return lambda text: {word for word in words if word in text}
     automaton = ahocorasick.Automaton()
     for word in words:

@@ -24,7 +24,7 @@ def contiguous_pages(cards: DataFrame) -> DataFrame:
     )
     pages = cards.select("search_id", F.inline(asked)).groupBy("search_id", "page").agg(F.max("landed").alias("landed"))
     missing = pages.filter(~F.col("landed")).groupBy("search_id").agg(F.min("page").alias("first_missing"))
-    kept = skew_join(cards, missing, ["search_id"], "inner")
+    kept = skew_join(cards, missing, ["search_id"], "inner", spread_by=["page_num"])
     return kept.filter((F.col("page_num") >= 1) & (F.col("page_num") < F.col("first_missing"))).select(*cards.columns)
 
 

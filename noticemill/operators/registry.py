@@ -50,13 +50,16 @@ def known_numbers(collected: DataFrame, registry: DataFrame, law: str | None = N
     return distinct_numbers(rows).join(known_keys(registry, law), NUMBER_KEY, "left_semi")
 
 
-def new_rows(collected: DataFrame, registry: DataFrame, law: str | None = None) -> DataFrame:
+def new_rows(
+    collected: DataFrame, registry: DataFrame, law: str | None = None, spread_by: list[str] | None = None
+) -> DataFrame:
     """Collected rows whose number is new, repeats kept.
 
-    One number may come with very many rows, hence the skew-proof join.
+    One number may come with very many rows, hence the skew-proof join; `spread_by` names
+    the columns that tell them apart.
     """
     rows = collected if law is None else law_filter(collected, law)
-    return skew_join(rows, known_keys(registry, law), NUMBER_KEY, "left_anti").select(*collected.columns)
+    return skew_join(rows, known_keys(registry, law), NUMBER_KEY, "left_anti", spread_by).select(*collected.columns)
 
 
 def run_report(collected: DataFrame, registry: DataFrame) -> DataFrame:

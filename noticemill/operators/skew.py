@@ -29,26 +29,33 @@ def hot_key_hashes(rows: DataFrame, keys: list[str]) -> Column:
     hashes = rows.select(
         _key_hash(keys).alias("_key"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
     )
-    sketches = hashes.groupBy("_group").agg(F.expr(f"approx_top_k_accumulate(_key, {TRACKED_KEYS})").alias("_sketch"))
-    merged = f"approx_top_k_estimate(approx_top_k_combine(_sketch, {TRACKED_KEYS}), {HOT_KEYS})"
-    hot = sketches.agg(F.expr(f"transform({merged}, t -> t.item)").alias("_hot"))
-    return F.coalesce(hot.scalar(), F.array().cast("array<bigint>"))
+    per_group = hashes.groupBy("_group").agg(F.expr(f"approx_top_k(_key, {HOT_KEYS}, {TRACKED_KEYS})").alias("_top"))
+    tops = F.flatten(F.collect_list("_top"))  # at most SKETCH_GROUPS * HOT_KEYS entries
+    by_count = F.array_sort(F.transform(tops, lambda top: F.struct(-top["count"], top["item"].alias("item"))))
+    hottest = F.slice(F.array_distinct(F.transform(by_count, lambda top: top["item"])), 1, HOT_KEYS)
+    return F.coalesce(per_group.agg(hottest.alias("_hot")).scalar(), F.array().cast("array<bigint>"))
 
 
 def skew_join(
-    rows: DataFrame, table: DataFrame, keys: list[str], how: str, hot_in: DataFrame | None = None
+    rows: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    how: str,
+    spread_by: list[str] | None = None,
+    hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of `rows`, which may pile up on a few keys, with a table that does not.
 
     Rows of a hot key are spread over all shuffle partitions and the matching table rows
     copied to each of them; every other key is joined once. Which keys count as hot
     changes the speed only, so they may be looked up in `hot_in`, a cheaper superset of
-    `rows`. `how` is inner, left, left_semi or left_anti.
+    `rows`. `spread_by` names the columns that tell the rows of one key apart, all columns
+    unless given. `how` is inner, left, left_semi or left_anti.
     """
     splits = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_key_hashes(rows if hot_in is None else hot_in, keys)
     is_hot = F.array_contains(hot, _key_hash(keys))
-    part = F.pmod(F.xxhash64(*rows.columns), F.lit(splits)).cast("int")
+    part = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(splits)).cast("int")
     salted = rows.withColumn("_salt", F.when(is_hot, part).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
     spread = table.select("*", F.explode(copies).alias("_salt"))

@@ -32,7 +32,7 @@ def wanted_notices(
     rows = law_filter(notices, law)
     if as_of is not None:
         rows = published_window(rows, as_of, days)
-    return new_rows(valid_numbers(rows), registry, law)
+    return new_rows(valid_numbers(rows), registry, law, spread_by=["notice_id"])
 
 
 def texts_of(texts: DataFrame, notices: DataFrame, id_col: str) -> DataFrame:

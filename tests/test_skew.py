@@ -1,0 +1,126 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from noticemill.operators.chunks import chunk_terms
+from noticemill.operators.pages import contiguous_pages, dedupe_numbers, dedupe_pairs, hit_counts, union_results
+from noticemill.operators import skew
+from noticemill.operators.skew import number_rows, skew_join
+from tests.conftest import rows
+
+
+def chunk_into(values, n):
+    """Contiguous parts, the first len % n of them one longer."""
+    size, longer = divmod(len(values), n)
+    parts, start = [], 0
+    for i in range(n):
+        end = start + size + (i < longer)
+        parts.append(values[start:end])
+        start = end
+    return parts
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_same_result_as_a_plain_join(spark, plain_joins, how):
+    ids = spark.range(4000)
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 900)
+    left = ids.select(key.alias("k"), (F.col("id") % 11).cast("string").alias("s"), F.col("id").alias("v"))
+    right = spark.range(0, 1000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    assert rows(skew_join(left, right, ["k"], how)) == rows(left.join(right, "k", how))
+
+
+def test_hot_key_is_split(spark, plain_joins):
+    left = spark.range(8000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.createDataFrame([(-1, "hot")], "k bigint, w string")
+    joined = skew_join(left, right, ["k"], "inner").withColumn("p", F.spark_partition_id())
+    plain = left.join(right, "k").withColumn("p", F.spark_partition_id())
+    assert plain.select("p").distinct().count() == 1
+    per_task = [r["count"] for r in joined.groupBy("p").count().collect()]
+    assert sum(per_task) == 4000
+    assert len(per_task) > 1 and max(per_task) < 4000
+
+
+def test_key_with_a_third_of_the_rows_is_reported_hot(spark):
+    rows_df = spark.range(30000).repartition(8).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    hot = rows_df.limit(1).select(skew.hot_key_hashes(rows_df, ["k"]).alias("h")).first().h
+    expected = spark.range(1).select(F.xxhash64(F.lit("hot")).alias("h")).first().h
+    assert expected in hot
+    assert len(hot) <= skew.HOT_KEYS
+
+
+def test_rows_are_numbered_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BLOCK_ROWS", 10)
+    rng = random.Random(2)
+    data = {("a", p) for p in rng.sample(range(-50, 1000), 300)} | {("b", 5)} | {("c", p) for p in range(25)}
+    df = spark.createDataFrame(list(data), "g string, p int")
+    got = {(r.g, r.p): (r.row_pos, r.group_rows) for r in number_rows(df, ["g"], "p").collect()}
+    for g in "abc":
+        group = sorted(p for name, p in data if name == g)
+        assert [got[g, p] for p in group] == [(i, len(group)) for i in range(len(group))]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 7, 20])
+def test_chunks_are_balanced_and_contiguous(spark, n, monkeypatch):
+    monkeypatch.setattr(skew, "BLOCK_ROWS", 4)
+    sizes = range(14)
+    terms = spark.createDataFrame(
+        [(f"l{size}", 3 * i + 1, f"t{i}") for size in sizes for i in range(size)], "list_id string, pos int, term string"
+    )
+    got: dict = {}
+    for r in sorted(chunk_terms(terms, n).collect(), key=lambda r: r.pos):
+        got.setdefault(r.list_id, {}).setdefault(r.chunk, []).append(r.term)
+    for size in sizes:
+        parts = chunk_into([f"t{i}" for i in range(size)], n)
+        assert got.get(f"l{size}", {}) == {i + 1: part for i, part in enumerate(parts) if part}
+
+
+def test_chunk_count_is_checked(spark):
+    with pytest.raises(ValueError):
+        chunk_terms(spark.createDataFrame([("a", 1, "t")], "list_id string, pos int, term string"), 0)
+
+
+def cards_df(spark, data):
+    return spark.createDataFrame(data, "search_id bigint, page_num int, href string")
+
+
+def test_pages_up_to_the_first_gap(spark, plain_joins):
+    landed = {1: [1, 2, 3], 2: [1, 3, 4], 3: [2, 3], 4: [1], 5: [1, 2, 4, 5, 7], 6: [0, 1, 2]}
+    cards = cards_df(spark, [(s, p, f"{s}/{p}/{i}") for s, ps in landed.items() for p in ps for i in range(3)])
+    kept: dict = {}
+    for r in contiguous_pages(cards).collect():
+        kept.setdefault(r.search_id, []).append(r.page_num)
+    assert {s: sorted(ps) for s, ps in kept.items()} == {
+        1: [1] * 3 + [2] * 3 + [3] * 3,
+        2: [1] * 3,
+        4: [1] * 3,
+        5: [1] * 3 + [2] * 3,
+        6: [1] * 3 + [2] * 3,
+    }
+
+
+def test_search_with_a_third_of_all_cards(spark, plain_joins):
+    cards = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50 + 1).cast("bigint").alias("search_id"),
+        (F.floor(F.col("id") / 60) + 1).cast("int").alias("page_num"),
+        F.col("id").cast("string").alias("href"),
+    )
+    without = cards.filter(~((F.col("search_id") == 0) & (F.col("page_num") == 100)))
+    kept = contiguous_pages(without)
+    assert kept.filter("search_id = 0").count() == 99 * 20
+    assert kept.filter("search_id = 0").agg(F.max("page_num")).first()[0] == 99
+
+
+def test_duplicates_count_per_list(spark):
+    collected = spark.createDataFrame(
+        [("a", "1", "x"), ("a", "1", "x"), ("a", "1", "y"), ("b", "1", "x")], "list_id string, notice_num string, href string"
+    )
+    assert rows(dedupe_pairs(collected)) == [("a", "1", "x"), ("a", "1", "y"), ("b", "1", "x")]
+    assert rows(dedupe_numbers(collected)) == [("a", "1"), ("b", "1")]
+
+
+def test_hits_and_union(spark):
+    cards = cards_df(spark, [(1, 1, "a"), (1, 2, "b"), (2, 1, "c")])
+    assert rows(hit_counts(cards)) == [(1, 2), (2, 1)]
+    one = spark.createDataFrame([(1,)], "x int")
+    assert rows(union_results(kw=one, okpd=one)) == [(1, "kw"), (1, "okpd")]

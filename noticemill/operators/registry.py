@@ -15,39 +15,38 @@ from noticemill.operators.skew import skew_join
 NUMBER_KEY = ["law", "notice_num"]
 
 
+def _of_law(rows: DataFrame, law: str | None) -> tuple[DataFrame, list[str]]:
+    """The rows of one law, compared by number alone, or all rows, compared by law and number."""
+    return (rows, NUMBER_KEY) if law is None else (law_filter(rows, law), ["notice_num"])
+
+
 def known_keys(registry: DataFrame, law: str | None = None) -> DataFrame:
-    """The (law, notice_num) that count as known, each once.
+    """The keys that count as known, each once: (law, notice_num), for one law (notice_num).
 
     A number counts as unknown when any of its registry rows lacks the notification id.
-    Copies of a number are combined in the map tasks; a registry bucketed by number needs
-    no shuffle here.
+    Copies of a number are combined in the map tasks. For one law of a registry bucketed by
+    number nothing of it is shuffled, here or in the join that follows.
     """
-    rows = registry if law is None else law_filter(registry, law)
-    return (
-        rows.groupBy("law", F.col("notificationnumber").alias("notice_num"))
-        .agg(F.every(F.col("id_notification").isNotNull()).alias("_known"))
-        .filter("_known")
-        .drop("_known")
-    )
+    rows, keys = _of_law(registry.withColumnRenamed("notificationnumber", "notice_num"), law)
+    known = F.every(F.col("id_notification").isNotNull()).alias("_known")
+    return rows.groupBy(*keys).agg(known).filter("_known").drop("_known")
 
 
-def distinct_numbers(collected: DataFrame) -> DataFrame:
-    return collected.select(*NUMBER_KEY).distinct()
+def _compare(collected: DataFrame, registry: DataFrame, law: str | None, how: str) -> DataFrame:
+    """Distinct numbers against the registry: both sides are unique, so there is no hot key."""
+    rows, keys = _of_law(collected, law)
+    found = rows.select(*keys).distinct().join(known_keys(registry, law), keys, how)
+    return found if law is None else found.select(F.lit(law).alias("law"), "notice_num")
 
 
 def new_numbers(collected: DataFrame, registry: DataFrame, law: str | None = None) -> DataFrame:
-    """Distinct collected numbers that the registry does not know.
-
-    Both sides are unique by number, so the join has no hot key.
-    """
-    rows = collected if law is None else law_filter(collected, law)
-    return distinct_numbers(rows).join(known_keys(registry, law), NUMBER_KEY, "left_anti")
+    """Distinct collected (law, notice_num) that the registry does not know."""
+    return _compare(collected, registry, law, "left_anti")
 
 
 def known_numbers(collected: DataFrame, registry: DataFrame, law: str | None = None) -> DataFrame:
-    """Distinct collected numbers that the registry knows."""
-    rows = collected if law is None else law_filter(collected, law)
-    return distinct_numbers(rows).join(known_keys(registry, law), NUMBER_KEY, "left_semi")
+    """Distinct collected (law, notice_num) that the registry knows."""
+    return _compare(collected, registry, law, "left_semi")
 
 
 def new_rows(
@@ -55,11 +54,13 @@ def new_rows(
 ) -> DataFrame:
     """Collected rows whose number is new, repeats kept.
 
-    One number may come with very many rows, hence the skew-proof join; `spread_by` names
-    the columns that tell them apart.
+    The registry meets the distinct numbers only. One number may come with very many rows,
+    so picking the rows is a skew-proof join; `spread_by` names the columns that tell the
+    rows of a number apart.
     """
-    rows = collected if law is None else law_filter(collected, law)
-    return skew_join(rows, known_keys(registry, law), NUMBER_KEY, "left_anti", spread_by).select(*collected.columns)
+    rows, _ = _of_law(collected, law)
+    new = new_numbers(collected, registry, law)
+    return skew_join(rows, new, NUMBER_KEY, "left_semi", spread_by).select(*collected.columns)
 
 
 def run_report(collected: DataFrame, registry: DataFrame) -> DataFrame:
@@ -69,10 +70,10 @@ def run_report(collected: DataFrame, registry: DataFrame) -> DataFrame:
     numbers and a second count per list follows.
     """
     per_number = collected.groupBy("list_id", *NUMBER_KEY).agg(F.count(F.lit(1)).alias("_rows"))
-    known = known_keys(registry).withColumn("_is_known", F.lit(True))
+    known = known_numbers(collected, registry).withColumn("_is_known", F.lit(True))
     is_new = F.col("_is_known").isNull()
     return (
-        per_number.join(known, NUMBER_KEY, "left")
+        skew_join(per_number, known, NUMBER_KEY, "left", spread_by=["list_id"], hot_in=collected)
         .groupBy("list_id", "law")
         .agg(
             F.sum("_rows").alias("found_rows"),

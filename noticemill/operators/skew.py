@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Share of the rows in which hot keys are looked for; all rows are joined all the same. A
+# key worth splitting has so many rows that this share shows it.
+LOOK_AT = 0.02
 # Keys the frequent-items sketch reports and keys it tracks. A key that holds more than
-# about 1/100 of all rows is certain to be among them.
+# about 1/100 of the rows it sees is certain to be among them.
 HOT_KEYS = 64
 TRACKED_KEYS = 4096
 # The sketches of the map tasks are merged in this many groups first, then once more.
@@ -26,7 +29,7 @@ def hot_key_hashes(rows: DataFrame, keys: list[str]) -> Column:
     One pass over the key columns, combined in the map tasks and merged in two steps; the
     result has at most `HOT_KEYS` numbers whatever the size of `rows`.
     """
-    hashes = rows.select(
+    hashes = rows.sample(fraction=LOOK_AT, seed=1).select(
         _key_hash(keys).alias("_key"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
     )
     per_group = hashes.groupBy("_group").agg(F.expr(f"approx_top_k(_key, {HOT_KEYS}, {TRACKED_KEYS})").alias("_top"))

@@ -22,7 +22,9 @@ def chunk_into(values, n):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_same_result_as_a_plain_join(spark, plain_joins, how):
+@pytest.mark.parametrize("look_at", [0.02, 1.0])
+def test_same_result_as_a_plain_join(spark, plain_joins, how, look_at, monkeypatch):
+    monkeypatch.setattr(skew, "LOOK_AT", look_at)
     ids = spark.range(4000)
     key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 900)
     left = ids.select(key.alias("k"), (F.col("id") % 11).cast("string").alias("s"), F.col("id").alias("v"))
@@ -30,7 +32,13 @@ def test_same_result_as_a_plain_join(spark, plain_joins, how):
     assert rows(skew_join(left, right, ["k"], how)) == rows(left.join(right, "k", how))
 
 
-def test_hot_key_is_split(spark, plain_joins):
+@pytest.fixture
+def look_at_all(monkeypatch):
+    """Small tables: look for hot keys in all rows."""
+    monkeypatch.setattr(skew, "LOOK_AT", 1.0)
+
+
+def test_hot_key_is_split(spark, plain_joins, look_at_all):
     left = spark.range(8000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
     right = spark.createDataFrame([(-1, "hot")], "k bigint, w string")
     joined = skew_join(left, right, ["k"], "inner").withColumn("p", F.spark_partition_id())
@@ -43,6 +51,7 @@ def test_hot_key_is_split(spark, plain_joins):
 
 def test_key_with_a_third_of_the_rows_is_reported_hot(spark):
     rows_df = spark.range(30000).repartition(8).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    # the default share of the rows is enough to see it
     hot = rows_df.limit(1).select(skew.hot_key_hashes(rows_df, ["k"]).alias("h")).first().h
     expected = spark.range(1).select(F.xxhash64(F.lit("hot")).alias("h")).first().h
     assert expected in hot
@@ -84,7 +93,7 @@ def cards_df(spark, data):
     return spark.createDataFrame(data, "search_id bigint, page_num int, href string")
 
 
-def test_pages_up_to_the_first_gap(spark, plain_joins):
+def test_pages_up_to_the_first_gap(spark, plain_joins, look_at_all):
     landed = {1: [1, 2, 3], 2: [1, 3, 4], 3: [2, 3], 4: [1], 5: [1, 2, 4, 5, 7], 6: [0, 1, 2]}
     cards = cards_df(spark, [(s, p, f"{s}/{p}/{i}") for s, ps in landed.items() for p in ps for i in range(3)])
     kept: dict = {}
@@ -99,7 +108,7 @@ def test_pages_up_to_the_first_gap(spark, plain_joins):
     }
 
 
-def test_search_with_a_third_of_all_cards(spark, plain_joins):
+def test_search_with_a_third_of_all_cards(spark, plain_joins, look_at_all):
     cards = spark.range(9000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50 + 1).cast("bigint").alias("search_id"),
         (F.floor(F.col("id") / 60) + 1).cast("int").alias("page_num"),

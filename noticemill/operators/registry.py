@@ -20,6 +20,16 @@ def _of_law(rows: DataFrame, law: str | None) -> tuple[DataFrame, list[str]]:
     return (rows, NUMBER_KEY) if law is None else (law_filter(rows, law), ["notice_num"])
 
 
+def _registry_rows(registry: DataFrame) -> DataFrame:
+    has_id = F.col("id_notification").isNotNull()
+    return registry.select("law", F.col("notificationnumber").alias("notice_num"), has_id.alias("_has_id"))
+
+
+def _known_per_key(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The keys of which every registry row has the notification id."""
+    return rows.groupBy(*by).agg(F.every("_has_id").alias("_known")).filter("_known").drop("_known")
+
+
 def known_keys(registry: DataFrame, law: str | None = None) -> DataFrame:
     """The keys that count as known, each once: (law, notice_num), for one law (notice_num).
 
@@ -27,9 +37,8 @@ def known_keys(registry: DataFrame, law: str | None = None) -> DataFrame:
     Copies of a number are combined in the map tasks. For one law of a registry bucketed by
     number nothing of it is shuffled, here or in the join that follows.
     """
-    rows, keys = _of_law(registry.withColumnRenamed("notificationnumber", "notice_num"), law)
-    known = F.every(F.col("id_notification").isNotNull()).alias("_known")
-    return rows.groupBy(*keys).agg(known).filter("_known").drop("_known")
+    rows, keys = _of_law(_registry_rows(registry), law)
+    return _known_per_key(rows, keys)
 
 
 def _compare(collected: DataFrame, registry: DataFrame, law: str | None, how: str) -> DataFrame:
@@ -50,17 +59,26 @@ def known_numbers(collected: DataFrame, registry: DataFrame, law: str | None = N
 
 
 def new_rows(
-    collected: DataFrame, registry: DataFrame, law: str | None = None, spread_by: list[str] | None = None
+    collected: DataFrame,
+    registry: DataFrame,
+    law: str | None = None,
+    spread_by: list[str] | None = None,
+    numbers_first: bool = False,
 ) -> DataFrame:
     """Collected rows whose number is new, repeats kept.
 
-    The registry meets the distinct numbers only. One number may come with very many rows,
-    so picking the rows is a skew-proof join; `spread_by` names the columns that tell the
-    rows of a number apart.
+    One number may come with very many rows, hence the skew-proof join; `spread_by` names
+    the columns that tell the rows of a number apart. With `numbers_first` the registry
+    meets the distinct numbers only, and the rows are picked by the new ones: the better
+    way when the registry is bucketed by number or far larger than what was collected.
     """
     rows, _ = _of_law(collected, law)
-    new = new_numbers(collected, registry, law)
-    return skew_join(rows, new, NUMBER_KEY, "left_semi", spread_by).select(*collected.columns)
+    if numbers_first:
+        new = skew_join(rows, new_numbers(collected, registry, law), NUMBER_KEY, "left_semi", spread_by=spread_by)
+    else:
+        known, _ = _of_law(_registry_rows(registry), law)
+        new = skew_join(rows, known, NUMBER_KEY, "left_anti", _known_per_key, spread_by)
+    return new.select(*collected.columns)
 
 
 def run_report(collected: DataFrame, registry: DataFrame) -> DataFrame:
@@ -70,11 +88,18 @@ def run_report(collected: DataFrame, registry: DataFrame) -> DataFrame:
     numbers and a second count per list follows.
     """
     per_number = collected.groupBy("list_id", *NUMBER_KEY).agg(F.count(F.lit(1)).alias("_rows"))
-    known = known_numbers(collected, registry).withColumn("_is_known", F.lit(True))
+    flagged = skew_join(
+        per_number,
+        _registry_rows(registry),
+        NUMBER_KEY,
+        "left",
+        per_key=lambda rows, by: _known_per_key(rows, by).withColumn("_is_known", F.lit(True)),
+        spread_by=["list_id"],
+        hot_in=collected,
+    )
     is_new = F.col("_is_known").isNull()
     return (
-        skew_join(per_number, known, NUMBER_KEY, "left", spread_by=["list_id"], hot_in=collected)
-        .groupBy("list_id", "law")
+        flagged.groupBy("list_id", "law")
         .agg(
             F.sum("_rows").alias("found_rows"),
             F.count(F.lit(1)).alias("found_distinct"),

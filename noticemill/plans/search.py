@@ -28,11 +28,14 @@ BROADCAST_IDS = 1_000_000
 def wanted_notices(
     notices: DataFrame, registry: DataFrame, law: str, as_of: date | None = None, days: int = 1
 ) -> DataFrame:
-    """Valid notices of a law and window that the registry does not know."""
+    """Valid notices of a law and window that the registry does not know.
+
+    A window is small beside the registry, so the distinct numbers are compared first.
+    """
     rows = law_filter(notices, law)
     if as_of is not None:
         rows = published_window(rows, as_of, days)
-    return new_rows(valid_numbers(rows), registry, law, spread_by=["notice_id"])
+    return new_rows(valid_numbers(rows), registry, law, spread_by=["notice_id"], numbers_first=True)
 
 
 def texts_of(texts: DataFrame, notices: DataFrame, id_col: str) -> DataFrame:

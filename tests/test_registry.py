@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from noticemill.operators import skew
 from noticemill.operators.enrich import detail_ids, enrich_223
 from noticemill.operators.registry import known_numbers, new_numbers, new_rows, run_report
 from noticemill.sources.registry import load_registry, write_registry, write_registry_table
@@ -59,7 +60,9 @@ def test_empty_sides(spark):
 def test_new_rows_keep_repeats(spark):
     collected = collected_df(spark, [("l", "223", "1", "a"), ("l", "223", "1", "a"), ("l", "223", "1", "b"), ("l", "223", "2", "c")])
     registry = registry_df(spark, [(1, "2", "223"), (2, "2", "223")])
-    assert rows(new_rows(collected, registry, "223").select("notice_num", "href")) == [("1", "a"), ("1", "a"), ("1", "b")]
+    for first in (False, True):
+        new = new_rows(collected, registry, "223", numbers_first=first).select("notice_num", "href")
+        assert rows(new) == [("1", "a"), ("1", "a"), ("1", "b")]
 
 
 def test_report_counts_rows_and_numbers(spark):
@@ -132,7 +135,8 @@ def test_other_host(spark):
 
 
 @pytest.mark.parametrize("hot", ["num", "href"])
-def test_one_key_holds_a_third_of_all_rows(spark, plain_joins, hot):
+def test_one_key_holds_a_third_of_all_rows(spark, plain_joins, hot, monkeypatch):
+    monkeypatch.setattr(skew, "LOOK_AT", 1.0)
     n = 6000
     ids = spark.range(n)
     key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 500))
@@ -140,9 +144,10 @@ def test_one_key_holds_a_third_of_all_rows(spark, plain_joins, hot):
     if hot == "num":
         collected = ids.select(F.lit("l").alias("list_id"), F.lit("223").alias("law"), key.alias("notice_num"), other.alias("href"))
         registry = registry_df(spark, [(i, f"k{i}", "223") for i in range(0, 500, 2)])
-        new = new_rows(collected, registry, "223")
         expected = [i for i in range(n) if i % 3 == 0 or (i % 500) % 2]
-        assert sorted(int(r.href) for r in new.collect()) == expected
+        for first in (False, True):
+            new = new_rows(collected, registry, "223", numbers_first=first)
+            assert sorted(int(r.href) for r in new.collect()) == expected
     else:
         collected = ids.select(other.alias("notice_num"), key.alias("href"))
         details = details_df(spark, [("hot", "zakupki?noticeInfoId=1", "?pfid=2"), ("k4", "zakupki?noticeInfoId=3", "?pfid=4")])

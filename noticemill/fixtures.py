@@ -11,6 +11,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from noticemill.functions.text import encode_cyrillic
 from noticemill.operators.skew import number_rows
@@ -82,8 +83,8 @@ LANDED = {
 # Rows of one landed file: small ones, so that even small tables are read by several tasks.
 FILE_ROWS = 20_000
 
-# Where they were written, by application, source folder and name.
-_landed_at: dict[tuple[str, str, str], str] = {}
+# Where they were written and their schema, by application, source folder and name.
+_landed_at: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 class Fixtures:
@@ -107,16 +108,16 @@ class Fixtures:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def _land(self, name: str) -> DataFrame:
-        own = getattr(type(self), f"derived_{name}", None)
-        derived = own(self) if own else self._sql(FIXTURE_SQL[name])
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _landed_at:
-            path = new_path(self.spark, name)
-            by = LANDED[name]
+            own = getattr(type(self), f"derived_{name}", None)
+            derived = own(self) if own else self._sql(FIXTURE_SQL[name])
+            path, by = new_path(self.spark, name), LANDED[name]
             writer = derived.write if by is None else derived.hint("rebalance", by).write.partitionBy(by)
             writer.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
-            _landed_at[key] = path
-        return self.spark.read.schema(derived.schema).parquet(_landed_at[key]).select(*derived.columns)
+            _landed_at[key] = path, derived.schema
+        path, schema = _landed_at[key]
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
     def _sql(self, sql: str, **tables: DataFrame) -> DataFrame:
         names = re.findall(r"\{(\w+)\}", sql)

@@ -19,24 +19,21 @@ def redirected_url(final_url: Column, host: str = DETAIL_HOST) -> Column:
 
 
 def detail_ids(details: DataFrame, host: str = DETAIL_HOST) -> DataFrame:
-    """(href, noticeinfoid, pfid) of each landed page; both ids or neither."""
+    """(href, ids) of each landed page; `ids` holds noticeinfoid and pfid or is NULL."""
     info = text.notice_info_id(redirected_url(F.col("final_url"), host))
     pfid = text.pfid(text.first_link_with(F.split("icon_hrefs", " "), PFID_MARK))
     both = F.when(info.isNotNull() & pfid.isNotNull(), F.struct(info.alias("noticeinfoid"), pfid.alias("pfid")))
     return details.select("href", both.alias("ids"))
 
 
-def _ids_per_href(ids: DataFrame, by: list[str]) -> DataFrame:
-    """Of a page landed several times the version with ids, if there are more the largest pair."""
-    return ids.groupBy(*by).agg(F.max("ids").alias("ids"))
-
-
 def enrich_223(collected: DataFrame, details: DataFrame, host: str = DETAIL_HOST) -> DataFrame:
     """Distinct collected rows with noticeinfoid and pfid, NULL when the page has none.
 
-    Every row stays: a number without a landed page is reported without ids. The ids are
-    taken before anything is shuffled, so that only short columns move.
+    Every row stays: a number without a landed page is reported without ids. Each distinct
+    link is looked up once, and only its short ids move. Of a page landed several times the
+    version with ids counts, if there are more the largest pair.
     """
-    ids = detail_ids(details, host)
-    rows = skew_join(collected.distinct(), ids, ["href"], "left", per_key=_ids_per_href, hot_in=collected)
+    per_href = detail_ids(details, host).groupBy("href").agg(F.max("ids").alias("ids"))
+    found = collected.select("href").distinct().join(per_href, "href")
+    rows = skew_join(collected.distinct(), found, ["href"], "left", hot_in=collected)
     return rows.select(*collected.columns, "ids.noticeinfoid", "ids.pfid")

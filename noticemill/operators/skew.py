@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,20 +44,16 @@ def skew_join(
     table: DataFrame,
     keys: list[str],
     how: str,
-    per_key: Callable[[DataFrame, list[str]], DataFrame] | None = None,
     spread_by: list[str] | None = None,
     hot_in: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join of `rows`, which may pile up on a few keys, with a table that does not.
-
-    Rows of a hot key are spread over all shuffle partitions and the matching table rows
-    copied to each of them; every other key is joined once. Which keys count as hot
-    changes the speed only, so they may be looked up in `hot_in`, a cheaper superset of
-    `rows`.
+    """Equi-join of `rows`, which may pile up on a few keys, with a table of one row per key.
 
-    `per_key(table, by)` may reduce the table to one row per key, grouping it by `by`: the
-    grouping then serves the join too and the table is shuffled once. `spread_by` names the columns that tell the rows of one key apart, all columns
-    unless given. `how` is inner, left, left_semi or left_anti.
+    Rows of a hot key are spread over all shuffle partitions and its table row is copied to
+    each of them: at most `HOT_KEYS` rows are copied. Every other key is joined once. Which
+    keys count as hot changes the speed only, so they may be looked up in `hot_in`, a
+    cheaper superset of `rows`. `spread_by` names the columns that tell the rows of one key
+    apart, all columns unless given. `how` is inner, left, left_semi or left_anti.
     """
     splits = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_key_hashes(rows if hot_in is None else hot_in, keys)
@@ -68,8 +62,6 @@ def skew_join(
     salted = rows.withColumn("_salt", F.when(is_hot, part).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
     spread = table.select("*", F.explode(copies).alias("_salt"))
-    if per_key is not None:
-        spread = per_key(spread, [*keys, "_salt"])
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -60,9 +60,8 @@ def test_empty_sides(spark):
 def test_new_rows_keep_repeats(spark):
     collected = collected_df(spark, [("l", "223", "1", "a"), ("l", "223", "1", "a"), ("l", "223", "1", "b"), ("l", "223", "2", "c")])
     registry = registry_df(spark, [(1, "2", "223"), (2, "2", "223")])
-    for first in (False, True):
-        new = new_rows(collected, registry, "223", numbers_first=first).select("notice_num", "href")
-        assert rows(new) == [("1", "a"), ("1", "a"), ("1", "b")]
+    new = new_rows(collected, registry, "223").select("notice_num", "href")
+    assert rows(new) == [("1", "a"), ("1", "a"), ("1", "b")]
 
 
 def test_report_counts_rows_and_numbers(spark):
@@ -143,14 +142,14 @@ def test_one_key_holds_a_third_of_all_rows(spark, plain_joins, hot, monkeypatch)
     other = F.col("id").cast("string")
     if hot == "num":
         collected = ids.select(F.lit("l").alias("list_id"), F.lit("223").alias("law"), key.alias("notice_num"), other.alias("href"))
-        registry = registry_df(spark, [(i, f"k{i}", "223") for i in range(0, 500, 2)])
+        landed = [(i, f"k{i}", "223") for i in range(0, 500, 2)] + [(1, "k0", "223")] * 500
+        registry = registry_df(spark, landed)
         expected = [i for i in range(n) if i % 3 == 0 or (i % 500) % 2]
-        for first in (False, True):
-            new = new_rows(collected, registry, "223", numbers_first=first)
-            assert sorted(int(r.href) for r in new.collect()) == expected
+        assert sorted(int(r.href) for r in new_rows(collected, registry, "223").collect()) == expected
     else:
         collected = ids.select(other.alias("notice_num"), key.alias("href"))
-        details = details_df(spark, [("hot", "zakupki?noticeInfoId=1", "?pfid=2"), ("k4", "zakupki?noticeInfoId=3", "?pfid=4")])
+        landed = [("hot", "zakupki?noticeInfoId=1", "?pfid=2")] * 500 + [("k4", "zakupki?noticeInfoId=3", "?pfid=4")]
+        details = details_df(spark, landed)
         got = enrich_223(collected, details).collect()
         assert len(got) == n
         assert sum(r.noticeinfoid == "1" for r in got) == n // 3

@@ -1,26 +1,16 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from noticemill.operators import skew
 from noticemill.operators.chunks import chunk_terms
 from noticemill.operators.pages import contiguous_pages, dedupe_numbers, dedupe_pairs, hit_counts, union_results
-from noticemill.operators import skew
 from noticemill.operators.skew import number_rows, skew_join
 from tests.conftest import rows
 
 
-def chunk_into(values, n):
-    """Contiguous parts, the first len % n of them one longer."""
-    size, longer = divmod(len(values), n)
-    parts, start = [], 0
-    for i in range(n):
-        end = start + size + (i < longer)
-        parts.append(values[start:end])
-        start = end
-    return parts
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("look_at", [0.02, 1.0])
 def test_same_result_as_a_plain_join(spark, plain_joins, how, look_at, monkeypatch):
@@ -80,8 +70,8 @@ def test_chunks_are_balanced_and_contiguous(spark, n, monkeypatch):
     for r in sorted(chunk_terms(terms, n).collect(), key=lambda r: r.pos):
         got.setdefault(r.list_id, {}).setdefault(r.chunk, []).append(r.term)
     for size in sizes:
-        parts = chunk_into([f"t{i}" for i in range(size)], n)
-        assert got.get(f"l{size}", {}) == {i + 1: part for i, part in enumerate(parts) if part}
+        parts = np.array_split(np.array([f"t{i}" for i in range(size)], dtype=object), n)
+        assert got.get(f"l{size}", {}) == {i + 1: list(part) for i, part in enumerate(parts) if len(part)}
 
 
 def test_chunk_count_is_checked(spark):

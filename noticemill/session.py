@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join partition even when an aggregate above the join needs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # texts may have a million characters: few rows in an Arrow batch
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
 

@@ -32,6 +32,33 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+DECONTAMINATION = f"""
+with docs as (select doc_id, {_WORDS} as w from documents),
+items as (select item_id, {_WORDS} as w from benchmark),
+sizes as (select *, least(13, len(w)) as m from items where len(w) > 0),
+sought as (
+  select distinct item_id, m, array_to_string(w[s:s + m - 1], ' ') as g
+  from (select item_id, m, w, unnest(range(1, len(w) - m + 2)) as s from sizes)),
+places as (
+  select doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') as g
+  from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as s
+        from docs, (select distinct m from sizes) where len(w) >= m)),
+hits as (select doc_id, item_id, s, p.m as m from places p join sought q on p.m = q.m and p.g = q.g),
+counted as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(range(s, s + m)) as p from hits) group by doc_id),
+named as (
+  select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct doc_id, item_id::varchar as id from hits) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256,
+  (coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w)) as contaminated
+from docs d left join counted c on d.doc_id = c.doc_id left join named n on d.doc_id = n.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_rule_ledger": RULE_LEDGER}
+    return {"op5_decontamination": DECONTAMINATION, "op9_rule_ledger": RULE_LEDGER}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticemill.llm import packing, quality, records
+from noticemill.llm import contamination, licenses, packing, quality, records, urls
 from noticemill.llm.common import table, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
+@query
+def op2_url_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op3_token_records(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "records")
@@ -38,6 +43,18 @@ def op3_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return records.read_records(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents")).drop("found")
+
+
+@query
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 @query
 def op8_minimum_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path()).drop("ids")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticemill.llm import contamination, licenses, packing, quality, records, urls
+from noticemill.llm import contamination, licenses, lm, packing, quality, records, urls
 from noticemill.llm.common import table, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+@query
+def op7_bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(table(spark, folder, "documents")).drop("train_words")
+
+
 @query
 def op8_minimum_bin_slack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path()).drop("ids")

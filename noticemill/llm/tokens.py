@@ -13,9 +13,9 @@ from array import array
 
 import numpy as np
 
-# Pieces a worker remembers before it starts anew (about 100 MB).
-REMEMBERED = 400_000
-# Characters in one call for pieces not seen before.
+# Pieces a worker remembers before it starts anew (about 200 MB).
+REMEMBERED = 1_000_000
+# How the vocabulary writes the space before a word.
 SPACE_MARK = "Ġ"
 
 

@@ -31,7 +31,7 @@ from noticemill.llm.common import input_size
 HEAD = struct.Struct("<BqB")
 FRAME = struct.Struct("<QI")
 CHECK = struct.Struct("<I")
-FILE_BYTES = 64 << 20
+FILE_BYTES = 16 << 20
 MANIFEST = "file_no int, data string, offsets string, n_records long, n_ids long"
 BATCH_BYTES = 4 << 20
 

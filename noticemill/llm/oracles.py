@@ -59,6 +59,23 @@ select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from docs d left join counted c on d.doc_id = c.doc_id left join named n on d.doc_id = n.doc_id
 """
 
+SUBSTRING_DEDUP = r"""
+with docs as (
+  select doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] as w from documents),
+places as (
+  select doc_id, s, array_to_string(w[s:s + 12], ' ') as g
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as s from docs)),
+repeated as (select doc_id, s from (select *, min(doc_id) over (partition by g) as first_doc from places) where first_doc < doc_id),
+gone as (select distinct doc_id, unnest(range(s, s + 13)) as p from repeated),
+kept as (
+  select d.doc_id, string_agg(word, ' ' order by d.p) as words
+  from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from docs) d
+  anti join gone g on d.doc_id = g.doc_id and d.p = g.p group by d.doc_id),
+counted as (select doc_id, count(*) as n from gone group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(words, '')) as kept_sha256
+from docs d left join kept k on d.doc_id = k.doc_id left join counted c on d.doc_id = c.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": DECONTAMINATION, "op9_rule_ledger": RULE_LEDGER}
+    return {"op5_decontamination": DECONTAMINATION, "op6_suffix_automata": SUBSTRING_DEDUP, "op9_rule_ledger": RULE_LEDGER}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticemill.llm import contamination, licenses, lm, packing, quality, records, urls
+from noticemill.llm import automaton, contamination, licenses, lm, packing, quality, records, suffixes, urls
 from noticemill.llm.common import table, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,12 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+@query
+def op6_suffix_automata(spark: SparkSession, folder: str) -> DataFrame:
+    found = automaton.dedup(table(spark, folder, "documents"))
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(table(spark, folder, "documents")).drop("train_words")
@@ -74,5 +80,19 @@ def op9_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op10_sparse_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words and more that also stand at an earlier place, one row for each."""
+    found = suffixes.repeated_passages(table(spark, folder, "documents"))
+    spans = found.select("row.doc_id", F.inline("spans"))
+    return spans.select(
+        "doc_id",
+        F.col("first").cast("bigint").alias("first_word"),
+        F.col("n").cast("bigint").alias("n_words"),
+        "of_doc_id",
+        F.col("of_first").cast("bigint").alias("of_first_word"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

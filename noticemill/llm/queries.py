@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticemill.llm import automaton, contamination, licenses, lm, packing, quality, records, suffixes, urls
+from noticemill.llm import automaton, contamination, jaccard, licenses, lm, packing, quality, records, suffixes, urls
 from noticemill.llm.common import table, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
+@query
+def op1_prefix_tree_join(spark: SparkSession, folder: str) -> DataFrame:
+    rule = jaccard.Similarity(words=4, percent=85)
+    found = jaccard.linked_documents(table(spark, folder, "documents"), rule)
+    return found.select("doc_id", F.col("n_ngrams").alias("n_shingles"), F.col("first_doc").alias("component_id"), "n_links")
+
+
 @query
 def op2_url_trees(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")

@@ -186,6 +186,14 @@ def contaminated(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFram
     )
 
 
+def clean(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFrame:
+    """The rows of `docs`, all columns, that are not contaminated."""
+    found = contaminated(docs, items, share).filter("contaminated").select("doc_id", "row_hash").distinct().alias("f")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", _row_hash().alias("row_hash")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.row_hash") == F.col("f.row_hash"))
+    return rows.join(found, same, "left_anti").select("_row.*")
+
+
 def near_matches(docs: DataFrame, items: DataFrame, terms: int = 3, within: int = 30) -> DataFrame:
     """Rows in which an item's `terms` rarest words stand within `within` words, in any order.
 

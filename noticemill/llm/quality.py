@@ -163,4 +163,7 @@ def ablations(ledger: DataFrame, policy: Policy = CURRENT) -> DataFrame:
 
 def accepted(docs: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """The rows of `docs` that the policy keeps, with the columns they came with."""
-    return judged(rule_ledger(docs, docs.columns), policy).filter("kept").select(*docs.columns)
+    ledger = judged(rule_ledger(docs, docs.columns), policy).select(F.struct(*docs.columns).alias("_row"), "kept")
+    # a filter is not moved below a projection that is not deterministic; moved down, it would
+    # take the place of the columns it reads and evaluate each of them many times
+    return ledger.withColumn("_here", F.spark_partition_id()).filter("kept and _here >= 0").select("_row.*")

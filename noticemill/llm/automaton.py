@@ -15,10 +15,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from noticemill.llm.repeats import LAST, Place, without_repeats
+from noticemill.llm.blocks import LAST
+from noticemill.llm.repeats import Place, without_repeats
 
 WINDOW = 13
-GRAM = 8
+GRAM = 5
 
 
 class SuffixAutomaton:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticemill.llm.common import shared_dir
+from noticemill.llm.common import shared_dir, written
 
 # Text and rows of one block; a block has at least one row.
 BLOCK_BYTES = 6 << 20
@@ -27,6 +27,8 @@ ROW_BITS, LOCAL_BITS = 16, 20
 BUCKET_BYTES = 3 << 20
 LOW_BITS = np.uint64(40)
 LOW = np.uint64((1 << 40) - 1)
+# Stands for a null doc_id: after all others.
+LAST = np.iinfo(np.int64).max
 
 STORED = "block long, n_rows long, n_bytes long, payload binary"
 HashesOf = Callable[[list], Iterator[np.ndarray]]
@@ -113,34 +115,41 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def common_hashes(stored: DataFrame, hashes_of: HashesOf, buckets: int, least: int = 2) -> DataFrame:
+def common_hashes(
+    stored: DataFrame, hashes_of: HashesOf, buckets: int, least: int = 2, apart: DataFrame | None = None
+) -> DataFrame:
     """For each block those of its hashes that occur `least` times or more in all documents.
 
-    `hashes_of` gives an array per text; an occurrence is an entry of such an array. block,
-    hashes (reduced, sorted, unsigned 64 bit) and counts (unsigned 32 bit), both binary; a
-    block has one row per bucket. Equal reduced hashes of different passages are possible
-    and rare: a hash is a hint that needs a closer look.
+    `hashes_of` gives an array per text; an occurrence is an entry of such an array. Rows
+    named in `apart` (block, place) are left out. Result: block, hashes (reduced, sorted,
+    unsigned 64 bit) and counts (unsigned 32 bit), both binary; a block has one row per
+    bucket. Equal reduced hashes of different passages are possible and rare: a hash is a
+    hint that needs a closer look.
     """
     names, types = ["bucket", "block", "low", "n"], (pa.int64(), pa.int64(), pa.binary(), pa.binary())
 
+    def emitted_by(block: int, texts: list) -> pa.Table:
+        found = [x for x in hashes_of(texts) if len(x)]
+        columns: tuple[list, ...] = ([], [], [], [])
+        if found:
+            values, n = np.unique(reduced(np.concatenate(found), buckets), return_counts=True)
+            bucket = (values >> LOW_BITS).astype(np.int64)
+            edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets)).tolist()
+            for a, b in zip(edges[:-1], edges[1:]):
+                row = (int(bucket[a]), block, _packed(values[a:b] & LOW), n[a:b].astype("<u4").tobytes())
+                for column, value in zip(columns, row):
+                    column.append(value)
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = list(hashes_of(unpacked(payload).column("_text").to_pylist()))
-                found = [x for x in found if len(x)]
-                if not found:
-                    continue
-                values, n = np.unique(reduced(np.concatenate(found), buckets), return_counts=True)
-                bucket = (values >> LOW_BITS).astype(np.int64)
-                edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets)).tolist()
-                cuts = list(zip(edges[:-1], edges[1:]))
-                columns = (
-                    [int(bucket[a]) for a, _ in cuts],
-                    [block] * len(cuts),
-                    [_packed(values[a:b] & LOW) for a, b in cuts],
-                    [n[a:b].astype("<u4").tobytes() for a, b in cuts],
-                )
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+                yield from emitted_by(block, unpacked(payload).column("_text").to_pylist()).to_batches()
+
+    def emit_others(block: int, rows: pa.Table, found: pa.Table) -> pa.Table:
+        left_out = set(found.column("place").to_pylist())
+        texts = rows.column("_text").to_pylist()
+        return emitted_by(block, [t for i, t in enumerate(texts) if i not in left_out])
 
     def count(group: pa.Table) -> pa.Table:
         blocks = group.column("block").to_pylist()
@@ -164,7 +173,11 @@ def common_hashes(stored: DataFrame, hashes_of: HashesOf, buckets: int, least: i
             start += size
         return pa.table([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.binary(), pa.binary()))], names=["block", "hashes", "counts"])
 
-    emitted = stored.select("block", "payload").mapInArrow(emit, "bucket long, block long, low binary, n binary")
+    schema = "bucket long, block long, low binary, n binary"
+    if apart is None:
+        emitted = stored.select("block", "payload").mapInArrow(emit, schema)
+    else:
+        emitted = with_blocks(stored, apart, emit_others, schema)
     return emitted.groupBy("bucket").applyInArrow(count, "block long, hashes binary, counts binary")
 
 
@@ -172,8 +185,8 @@ class Counts:
     """The common hashes of one block and how often each occurs."""
 
     def __init__(self, rows: pa.Table):
-        hashes = [np.frombuffer(x, "<u8") for x in rows.column("hashes").to_pylist()]
-        counts = [np.frombuffer(x, "<u4") for x in rows.column("counts").to_pylist()]
+        hashes = [np.frombuffer(x, "<u8") for x in rows.column("hashes").to_pylist() if x is not None]
+        counts = [np.frombuffer(x, "<u4") for x in rows.column("counts").to_pylist() if x is not None]
         values = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(values, kind="stable")
         self.values = values[order]
@@ -187,16 +200,40 @@ class Counts:
         return np.where(self.values[at] == hashes, self.n[at], 0)
 
 
-def with_blocks(stored: DataFrame, found: DataFrame, fn, schema: str) -> DataFrame:
-    """`fn(block, rows of the block, rows of `found` for it)` for every block; yields record batches or tables.
+def copies(stored: DataFrame) -> DataFrame:
+    """block, place of the rows whose whole text a row with a smaller doc_id (null last) has too."""
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            for block, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows = unpacked(payload)
+                texts = rows.column("_text").to_pylist()
+                columns = (
+                    [block] * len(texts),
+                    range(len(texts)),
+                    [LAST if d is None else d for d in rows.column("_doc_id").to_pylist()],
+                    [xxhash.xxh3_128_digest(t or "") for t in texts],
+                )
+                types = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "place", "doc", "digest"])
+
+    rows = stored.select("block", "payload").mapInArrow(digests, "block long, place int, doc long, digest binary")
+    rows = written(rows, "digests")
+    firsts = rows.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    return written(rows.join(firsts, "digest").filter("doc > first").select("block", "place"), "copies")
+
+
+def with_blocks(stored: DataFrame, found: DataFrame, fn, schema) -> DataFrame:
+    """`fn(block, rows of the block, rows of `found` for it)` for every block; it returns a table.
 
     A block without rows in `found` is called with an empty table.
     """
 
     def call(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for block, payload in zip(left.column("block").to_pylist(), left.column("payload").to_pylist()):
-            out.append(fn(block, unpacked(payload), right))
-        return pa.concat_tables(out) if out else fn(None, None, None)
+        # rows of `found` without a block of theirs can't be: every block number is a block's
+        payloads = left.column("payload").to_pylist()
+        return fn(left.column("block")[0].as_py(), unpacked(payloads[0]), right)
 
     return stored.select("block", "payload").groupBy("block").cogroup(found.groupBy("block")).applyInArrow(call, schema)

@@ -30,7 +30,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read back from there."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

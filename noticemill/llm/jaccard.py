@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticemill.llm import blocks
+from noticemill.llm.blocks import LAST
 from noticemill.llm.common import written
 from noticemill.llm.graph import components
 from noticemill.llm.hashing import WordHashes, sequence_hashes
-from noticemill.llm.repeats import LAST, doc_key
+from noticemill.llm.repeats import doc_key
 
 GROUP_NGRAMS = 262_144
 
@@ -137,28 +138,27 @@ def _sets(stored: DataFrame, rule: Similarity) -> DataFrame:
         for text in texts:
             yield rule.ngrams(text, known)
 
-    def run(block: int | None, rows: pa.Table | None, found: pa.Table | None) -> pa.Table:
+    def run(block: int, rows: pa.Table, found: pa.Table) -> pa.Table:
         import xxhash
 
         out: list[list] = [[] for _ in NAMES]
-        if rows is not None:
-            counts, known, seen = blocks.Counts(found), WordHashes(), set()
-            docs, texts = rows.column("_doc_id").to_pylist(), rows.column("_text").to_pylist()
-            for place, (doc_id, text) in enumerate(zip(docs, texts)):
-                hashes = rule.ngrams(text, known)
-                size = len(hashes)
-                label = xxhash.xxh3_64_intdigest(hashes.tobytes(), 3) - (1 << 63) if size else None
-                made = [(doc_id, doc_key(doc_id), blocks.row_number(block, place), label, size, None, None)]
-                if size and label not in seen:
-                    seen.add(label)
-                    n = counts.of(blocks.reduced(hashes, buckets))
-                    rare_first = np.lexsort((hashes, n))[: rule.prefix(size)]
-                    common = hashes[rare_first][n[rare_first] > 1]
-                    if len(common):
-                        made.append((None, None, None, label, size, hashes.tobytes(), common.view(np.int64).tolist()))
-                for row in made:
-                    for column, value in zip(out, row):
-                        column.append(value)
+        counts, known, seen = blocks.Counts(found), WordHashes(), set()
+        docs, texts = rows.column("_doc_id").to_pylist(), rows.column("_text").to_pylist()
+        for place, (doc_id, text) in enumerate(zip(docs, texts)):
+            hashes = rule.ngrams(text, known)
+            size = len(hashes)
+            label = xxhash.xxh3_64_intdigest(hashes.tobytes(), 3) - (1 << 63) if size else None
+            made = [(doc_id, doc_key(doc_id), blocks.row_number(block, place), label, size, None, None)]
+            if size and label not in seen:
+                seen.add(label)
+                n = counts.of(blocks.reduced(hashes, buckets))
+                rare_first = np.lexsort((hashes, n))[: rule.prefix(size)]
+                common = hashes[rare_first][n[rare_first] > 1]
+                if len(common):
+                    made.append((None, None, None, label, size, hashes.tobytes(), common.view(np.int64).tolist()))
+            for row in made:
+                for column, value in zip(out, row):
+                    column.append(value)
         return pa.table([pa.array(c, t) for c, t in zip(out, TYPES)], names=NAMES)
 
     common = blocks.common_hashes(stored, hashes_of, buckets)
@@ -292,7 +292,7 @@ def one_of_each(docs: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     others = [f for f in docs.schema.fields if f.name != "text"]
     schema = f"row {docs.select(*(f.name for f in others)).schema.simpleString()}, text string"
 
-    def pick(block: int | None, rows: pa.Table, found: pa.Table) -> pa.Table:
+    def pick(block: int, rows: pa.Table, found: pa.Table) -> pa.Table:
         chosen = pa.array(sorted(found.column("place").to_pylist()), pa.int64())
         rows = rows.take(chosen)
         return pa.table({"row": rows.column("_row"), "text": rows.column("_text")})

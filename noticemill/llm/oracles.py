@@ -76,6 +76,29 @@ select d.doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed,
 from docs d left join kept k on d.doc_id = k.doc_id left join counted c on d.doc_id = c.doc_id
 """
 
+REPEATED_PASSAGES = r"""
+with docs as (
+  select doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] as w from documents),
+places as (
+  select doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) as g
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as s from docs)),
+firsts as (
+  select doc_id, s, first_value(doc_id) over earliest as of_doc_id, first_value(s) over earliest as of_s
+  from places window earliest as (partition by g order by doc_id, s)),
+repeated as (select * from firsts where of_doc_id < doc_id or of_s < s),
+marked as (
+  select *, case when s <= lag(s) over (partition by doc_id order by s) + 50 then 0 else 1 end as new from repeated),
+numbered as (select *, sum(new) over (partition by doc_id order by s) as run from marked)
+select doc_id, (min(s) - 1)::bigint as first_word, (max(s) + 50 - min(s))::bigint as n_words,
+  arg_min(of_doc_id, s) as of_doc_id, (arg_min(of_s, s) - 1)::bigint as of_first_word
+from numbered group by doc_id, run
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": DECONTAMINATION, "op6_suffix_automata": SUBSTRING_DEDUP, "op9_rule_ledger": RULE_LEDGER}
+    return {
+        "op5_decontamination": DECONTAMINATION,
+        "op6_suffix_automata": SUBSTRING_DEDUP,
+        "op9_rule_ledger": RULE_LEDGER,
+        "op10_sparse_suffix_array": REPEATED_PASSAGES,
+    }

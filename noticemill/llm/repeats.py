@@ -7,7 +7,7 @@ words. Anchors that occur once in the corpus drop out after one exchange of hash
 others, the stretch of words whose windows have that anchor (a segment) goes to the shard
 that owns the anchor; there an engine finds for each window the first place where it
 occurs. An anchor met more than `HOT` times would make one shard large; its windows go one
-by one to shards chosen by the whole window, and equal segments are merged on the way.
+by one to shards chosen by the whole window, and equal ones are merged on the way.
 """
 
 from __future__ import annotations
@@ -21,15 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticemill.llm import blocks
+from noticemill.llm.blocks import LAST
 from noticemill.llm.common import written
 from noticemill.llm.hashing import WordHashes, leftmost_minima, sequence_hashes
 
 HOT = 512
 # Characters of segments in one shard, on average.
 SHARD_BYTES = 400_000
-# Stands for a null doc_id: after all others.
-LAST = np.iinfo(np.int64).max
-
 Place = tuple[int, int, int]  # doc_id (LAST for null), row number, word
 Engine = Callable[[list[list[bytes]], list[int], list[Place], int], list[list[Place]]]
 
@@ -51,9 +49,7 @@ class Sampled:
         self.last = np.append(starts[1:], len(places))[: len(starts)] - 1
 
 
-SEGMENTS = (
-    "block long, idx int, key binary, shard long, at int, text binary, doc long, row long, word int, occurrences binary"
-)
+SEGMENTS = "block long, idx int, key binary, shard long, at int, text binary, doc long, row long, word int, occurrences binary"
 NAMES = ["block", "idx", "key", "shard", "at", "text", "doc", "row", "word", "occurrences"]
 TYPES = (
     pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
@@ -65,59 +61,55 @@ def doc_key(doc_id: int | None) -> int:
 
 
 def _segments(length: int, gram: int, buckets: int):
-    """Rows of a block's distinct segments, and one row with all its occurrences."""
+    """Rows of a block's distinct segments, and one row with all its occurrences.
+
+    `key` is set for the single windows of hot anchors only.
+    """
 
-    def run(block: int | None, rows: pa.Table | None, found: pa.Table | None) -> pa.Table:
+    def run(block: int, rows: pa.Table, found: pa.Table) -> pa.Table:
         import xxhash
 
-        out: list[list] = [[] for _ in NAMES]
-        if rows is None or not found.num_rows:
-            return pa.table([pa.array(c, t) for c, t in zip(out, TYPES)], names=NAMES)
         counts, known = blocks.Counts(found), WordHashes()
+        apart = set(found.column("place").to_pylist())
         number: dict[bytes, int] = {}
+        segments: list[tuple] = []
         places: list[Place] = []
         seen: list[tuple[int, int, int, int]] = []  # place in the block, first window, windows, idx
 
-        def add(place: int, doc: int, words: list[bytes], first: int, n: int, at: int, shard: int) -> None:
-            text = b" ".join(words[first : first + n - 1 + length])
-            key = xxhash.xxh3_128_digest(text)
-            idx = number.setdefault(key, len(number))
-            here = (doc, blocks.row_number(block, place), first)
+        def add(here: Place, place: int, words: list[bytes], n: int, at: int, shard: int, hot: bool) -> None:
+            text = b" ".join(words[here[2] : here[2] + n - 1 + length])
+            idx = number.setdefault(text, len(number))
             if idx == len(places):
                 places.append(here)
-                for column, value in zip(out, (block, idx, key, shard, at, text)):
-                    column.append(value)
+                segments.append((block, idx, xxhash.xxh3_128_digest(text) if hot else None, shard, at, text))
             elif here < places[idx]:
                 places[idx] = here
-            seen.append((place, first, n, idx))
+            seen.append((place, here[2], n, idx))
 
         docs, texts = rows.column("_doc_id").to_pylist(), rows.column("_text").to_pylist()
         for place, (doc_id, text) in enumerate(zip(docs, texts)):
             words = words_of(text)
-            if len(words) < length:
+            if len(words) < length or place in apart:
                 continue
             hashes = known.array(words)
             sampled = Sampled(hashes, length, gram)
             n = counts.of(blocks.reduced(sampled.hash, buckets))
-            doc = doc_key(doc_id)
+            common = np.flatnonzero(n >= 2)
+            doc, row = doc_key(doc_id), blocks.row_number(block, place)
             whole = None
-            for i in np.flatnonzero(n >= 2).tolist():
-                at, first, last = int(sampled.place[i]), int(sampled.first[i]), int(sampled.last[i])
-                if n[i] <= HOT:
-                    shard = int(sampled.hash[i].astype(np.int64))
-                    add(place, doc, words, first, last - first + 1, at - first, shard)
+            columns = (sampled.place, sampled.first, sampled.last, sampled.hash.view(np.int64), n)
+            for at, first, last, shard, met in zip(*(c[common].tolist() for c in columns)):
+                if met <= HOT:
+                    add((doc, row, first), place, words, last - first + 1, at - first, shard, False)
                     continue
                 if whole is None:
-                    whole = sequence_hashes(hashes, length).astype(np.int64)
+                    whole = sequence_hashes(hashes, length).view(np.int64)
                 for start in range(first, last + 1):
-                    add(place, doc, words, start, 1, at - start, int(whole[start]))
-        for column, value in zip(out[6:9], zip(*places)):
-            column.extend(value)
-        out[9].extend([None] * len(places))
-        last = (block, -1, None, None, None, None, None, None, None, np.array(seen, np.int32).tobytes())
-        for column, value in zip(out, last):
-            column.append(value)
-        return pa.table([pa.array(c, t) for c, t in zip(out, TYPES)], names=NAMES)
+                    add((doc, row, start), place, words, 1, at - start, int(whole[start]), True)
+        segments.append((block, -1, None, None, None, None))
+        places.append((None, None, None))
+        columns = [*zip(*segments), *zip(*places), [None] * (len(places) - 1) + [np.array(seen, np.int32).tobytes()]]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, TYPES)], names=NAMES)
 
     return run
 
@@ -141,11 +133,12 @@ def _places(raw: bytes) -> list[Place]:
     return out
 
 
-def first_places(stored: DataFrame, length: int, gram: int, engine: Engine) -> DataFrame:
+def first_places(stored: DataFrame, length: int, gram: int, engine: Engine, apart: DataFrame) -> DataFrame:
     """For each block the first places of its common windows: block, idx, runs, occurrences.
 
     `occurrences` (in the row with idx -1) lists the block's segments as (row, first window,
-    windows, idx), 32-bit integers; `runs` has the first places of segment idx.
+    windows, idx), 32-bit integers; `runs` has the first places of segment idx. Rows named
+    in `apart` (block, place) are passed over; a place must be found elsewhere for them.
     """
     buckets = blocks.n_buckets(stored)
 
@@ -156,37 +149,64 @@ def first_places(stored: DataFrame, length: int, gram: int, engine: Engine) -> D
             if len(words) >= length:
                 yield Sampled(known.array(words), length, gram).hash
 
-    common = blocks.common_hashes(stored, hashes_of, buckets)
-    segments = written(blocks.with_blocks(stored, common, _segments(length, gram, buckets), SEGMENTS), "segments")
-    held = segments.filter(F.col("idx") >= 0)
+    none = F.lit(None)
+    common = blocks.common_hashes(stored, hashes_of, buckets, apart=apart).withColumn("place", none.cast("int"))
+    left_out = apart.select("block", none.cast("binary").alias("hashes"), none.cast("binary").alias("counts"), "place")
+    found = blocks.with_blocks(stored, common.unionByName(left_out), _segments(length, gram, buckets), SEGMENTS)
+    segments = written(found, "segments")
+    held = segments.filter("idx >= 0")
     size = held.agg(F.sum(F.length("text")).alias("n")).first().n or 0
-    shards = max(1, -(-size // SHARD_BYTES))
-    distinct = held.groupBy("key").agg(
+    shard = F.pmod("shard", F.lit(max(1, -(-size // SHARD_BYTES)))).alias("shard")
+    # an anchor that is not hot has at most HOT segments; windows of hot ones are merged first
+    once = held.filter(F.col("key").isNotNull()).groupBy("key").agg(
         F.min(F.struct("doc", "row", "word")).alias("place"),
         F.first("shard").alias("shard"),
         F.first("at").alias("at"),
         F.first("text").alias("text"),
     )
-    distinct = distinct.select("key", "place.*", "at", "text", F.pmod("shard", F.lit(shards)).alias("shard"))
+    once = once.select(none.cast("long").alias("block"), none.cast("int").alias("idx"), "key", shard, "at", "text", "place.*")
+    direct = held.filter(F.col("key").isNull()).select("block", "idx", "key", shard, "at", "text", "doc", "row", "word")
 
     def solve(group: pa.Table) -> pa.Table:
-        texts = [raw.split(b" ") for raw in group.column("text").to_pylist()]
-        starts = list(zip(*(group.column(c).to_pylist() for c in ("doc", "row", "word"))))
-        found = engine(texts, group.column("at").to_pylist(), starts, length)
-        return pa.table({"key": group.column("key"), "runs": pa.array([_runs(x) for x in found], pa.binary())})
+        number: dict[bytes, int] = {}
+        at: list[int] = []
+        places: list[Place] = []
+        which = []
+        columns = (group.column(c).to_pylist() for c in ("text", "at", "doc", "row", "word"))
+        for text, anchor, *place in zip(*columns):
+            k = number.setdefault(text, len(number))
+            which.append(k)
+            if k == len(at):
+                at.append(anchor)
+                places.append(tuple(place))
+            elif tuple(place) < places[k]:
+                places[k] = tuple(place)
+        found = [_runs(x) for x in engine([t.split(b" ") for t in number], at, places, length)]
+        return pa.table(
+            {
+                "block": group.column("block"),
+                "idx": group.column("idx"),
+                "key": group.column("key"),
+                "runs": pa.array([found[k] for k in which], pa.binary()),
+            }
+        )
 
-    solved = distinct.groupBy("shard").applyInArrow(solve, "key binary, runs binary")
-    back = held.select("block", "idx", "key").join(solved, "key").select("block", "idx", "runs", F.lit(None).cast("binary").alias("occurrences"))
-    listed = segments.filter("idx = -1").select("block", "idx", F.lit(None).cast("binary").alias("runs"), "occurrences")
-    return back.unionByName(listed)
+    solved = direct.unionByName(once).groupBy("shard").applyInArrow(solve, "block long, idx int, key binary, runs binary")
+    if held.filter(F.col("key").isNotNull()).isEmpty():
+        back = solved.select("block", "idx", "runs")
+    else:
+        solved = written(solved, "solved")
+        hot = held.filter(F.col("key").isNotNull()).select("block", "idx", "key")
+        joined = hot.join(solved.filter(F.col("key").isNotNull()).select("key", "runs"), "key")
+        back = solved.filter(F.col("key").isNull()).select("block", "idx", "runs").unionByName(joined.select("block", "idx", "runs"))
+    listed = segments.filter("idx = -1").select("block", "idx", none.cast("binary").alias("runs"), "occurrences")
+    return back.withColumn("occurrences", none.cast("binary")).unionByName(listed)
 
 
 SPAN = "struct<first: int, n: int, of_doc_id: bigint, of_first: int>"
 
 
-def without_repeats(
-    docs: DataFrame, length: int, gram: int, engine: Engine, within: bool
-) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int, gram: int, engine: Engine, within: bool) -> DataFrame:
     """`docs` with the words of repeated windows taken out.
 
     A window is repeated if it also starts in a document with a smaller doc_id or, if
@@ -194,10 +214,21 @@ def without_repeats(
     `row` (a struct of all columns of `docs` but text), `text` as it was, n_words,
     n_removed, kept (the words that stay, joined by one space) and spans: the maximal runs of
     removed words as (first word, words, of_doc_id, of_first), with the first place of the
-    window that a run begins with.
+    window that a run begins with. Unless `within`, whole copies of a text with a smaller
+    doc_id are not searched, as all their windows are repeated; they have no spans.
     """
     stored = blocks.store(docs)
-    found = first_places(stored, length, gram, engine)
+    none = F.lit(None)
+    apart = stored.select("block", none.cast("int").alias("place")).limit(0) if within else blocks.copies(stored)
+    found = first_places(stored, length, gram, engine, apart).withColumn("place", none.cast("int"))
+    left_out = apart.select(
+        "block",
+        F.lit(-2).alias("idx"),
+        none.cast("binary").alias("runs"),
+        none.cast("binary").alias("occurrences"),
+        "place",
+    )
+    found = found.unionByName(left_out)
     rows = T.StructType([f for f in docs.schema.fields if f.name != "text"])
     schema = T.StructType(
         [
@@ -211,14 +242,18 @@ def without_repeats(
     )
     span = pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32()), ("of_doc_id", pa.int64()), ("of_first", pa.int32())]))
 
-    def cut(block: int | None, table: pa.Table, found: pa.Table) -> pa.Table:
+    def cut(block: int, table: pa.Table, found: pa.Table) -> pa.Table:
         runs: dict[int, bytes] = {}
+        copied = set()
         listed = np.zeros((0, 4), np.int32)
-        for idx, raw, occurrences in zip(*(found.column(c).to_pylist() for c in ("idx", "runs", "occurrences"))):
+        columns = (found.column(c).to_pylist() for c in ("idx", "runs", "occurrences", "place"))
+        for idx, raw, occurrences, place in zip(*columns):
             if idx >= 0:
                 runs[idx] = raw
-            else:
+            elif idx == -1:
                 listed = np.frombuffer(occurrences, np.int32).reshape(-1, 4)
+            else:
+                copied.add(place)
         by_row: dict[int, list] = {}
         for place, first, _, idx in listed.tolist():
             by_row.setdefault(place, []).append((first, idx))
@@ -226,6 +261,13 @@ def without_repeats(
         n_words, n_removed, kept, spans = [], [], [], []
         for place, (doc_id, text) in enumerate(zip(docs, texts)):
             words = words_of(text)
+            if place not in by_row:
+                gone = place in copied and len(words) >= length
+                n_words.append(len(words))
+                n_removed.append(len(words) if gone else 0)
+                kept.append("" if gone else b" ".join(words).decode())
+                spans.append([])
+                continue
             gone, stretches = np.zeros(len(words) + 1, np.int32), []
             doc, row = doc_key(doc_id), blocks.row_number(block, place)
             for first, idx in sorted(by_row.get(place, ())):

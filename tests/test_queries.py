@@ -5,10 +5,11 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as driver
+from noticemill import catalog, oracles
 from tests.conftest import SMALL, plan_of
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracles.oracle_sql()
 
 
 def sorted_rows(columns, rows):
@@ -19,6 +20,7 @@ def sorted_rows(columns, rows):
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
     assert len(QUERIES) == 47
+    assert set(QUERIES) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

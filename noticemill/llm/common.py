@@ -34,12 +34,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(spark: SparkSession, path: str) -> None:
-    """Remove a folder that `work_path` named and nothing needs any more."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def small_letters(text: Column) -> Column:
     """A-Z in small letters, every other character as it is."""
     return F.translate(text, UPPER, LOWER)
@@ -55,8 +49,3 @@ def plain_words(text: Column) -> Column:
     """Array of words of letters, digits and characters beyond ASCII, A-Z in small letters."""
     spaced = F.btrim(F.regexp_replace(small_letters(text), NOT_IN_WORD, " "))
     return F.when(F.length(spaced) > 0, F.split(spaced, " ")).otherwise(F.array().cast("array<string>"))
-
-
-def input_size(df: DataFrame) -> int:
-    """Bytes of the files behind `df`, as Spark's statistics have them."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

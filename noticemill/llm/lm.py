@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticemill.llm.common import written
+from noticemill.llm.hashing import MULTIPLIER, WordHashes, mixed, word_hash
 
 FOLDS, HELD_OUT = 7, 2
 # Text of one block, in bytes; a block has at least one document.
@@ -41,7 +42,6 @@ MAX_FILTER_BYTES = 128 << 20
 # Weight of the bigram estimate.
 BIGRAM_WEIGHT = 0.15
 END = b""
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 LOW_40 = np.uint64((1 << 40) - 1)
 
 
@@ -52,28 +52,6 @@ def tokens(text: str | None) -> list[bytes]:
     return words
 
 
-def word_hash(word: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(word, 11)
-
-
-class _Hashes(dict):
-    """Word hashes a task has seen; anew when there are many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        value = self[word] = word_hash(word)
-        return value
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def bigram_hashes(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     return mixed(before * MULTIPLIER + after)
 
@@ -83,13 +61,10 @@ def segment_of(hashes: np.ndarray, segments: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
 
 
-def _probe_bits(low: np.ndarray, level: int, n_bits: np.ndarray) -> Iterator[np.ndarray]:
-    """Bit places of (bigram, level), one probe after the other; `low` are 40 bits of the hash."""
-    seed = mixed(low + np.uint64(level) * MULTIPLIER)
-    step = (seed >> np.uint64(32)) | np.uint64(1)
-    seed = seed & np.uint64(0xFFFFFFFF)
-    for i in range(PROBES):
-        yield (seed + np.uint64(i) * step) % n_bits
+def _seed_and_step(low: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Probe i of (bigram, level) looks at bit seed + i * step; `low` are 40 bits of the hash."""
+    seed = mixed(low + np.uint64(level * int(MULTIPLIER) & 0xFFFFFFFFFFFFFFFF))
+    return seed & np.uint64(0xFFFFFFFF), (seed >> np.uint64(32)) | np.uint64(1)
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
@@ -110,9 +85,9 @@ def filter_segment(low: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
     bits = np.zeros(n_bits, bool)
     size = np.uint64(n_bits)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        held = low[levels >= level]
-        for places in _probe_bits(held, level, size):
-            bits[places.astype(np.int64)] = True
+        seed, step = _seed_and_step(low[levels >= level], level)
+        for i in range(PROBES):
+            bits[((seed + np.uint64(i) * step) % size).astype(np.int64)] = True
     return n_bits, np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -135,12 +110,10 @@ class CountFilter:
         raw = np.frombuffer(self.raw, np.uint8)
         level = 1
         while len(places):
-            low, own = hashes[places] & LOW_40, segment[places]
+            own = segment[places]
             n_bits, start = self.n_bits[own], self.starts[own]
             alive = np.arange(len(places))
-            seed = mixed(low + np.uint64(level) * MULTIPLIER)
-            step = (seed >> np.uint64(32)) | np.uint64(1)
-            seed = seed & np.uint64(0xFFFFFFFF)
+            seed, step = _seed_and_step(hashes[places] & LOW_40, level)
             for i in range(PROBES):
                 bit = ((seed[alive] + np.uint64(i) * step[alive]) % n_bits[alive]).astype(np.int64)
                 alive = alive[(raw[start[alive] + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 == 1]
@@ -241,7 +214,7 @@ def count_filter(docs: DataFrame, train_tokens: int) -> tuple[DataFrame, int]:
     names = ["segment", "low", "n"]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
+        known = WordHashes()
         held: list[np.ndarray] = []
         size = 0
 
@@ -262,7 +235,7 @@ def count_filter(docs: DataFrame, train_tokens: int) -> tuple[DataFrame, int]:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 found = tokens(text)
-                hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+                hashes = known.array(found)
                 held.append(bigram_hashes(np.concatenate([hashes[-1:], hashes[:-1]]), hashes))
                 size += len(found)
                 if size >= GATHERED:

@@ -28,6 +28,7 @@ RULES: tuple[tuple[str, str], ...] = (
     ("short_words", "word_chars < 2 * n_words"),
     ("long_words", "word_chars > 20 * n_words"),
 )
+MEASUREMENTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 BASE_RULES = ("too_few_words", "repeated_words")
 
 
@@ -92,15 +93,8 @@ def _repeat_words(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.when(F.col("_again"), covered).otherwise(F.lit(0).cast("bigint")))
 
 
-def measurements(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Columns `keep` (doc_id unless given) of each row, with the measurements of its whole text.
-
-    n_words, word_chars (code points in words), n_symbols, n_lines (lines with a word),
-    n_dup_lines (of those, equal to an earlier one) and n_repeat_words, all long. A null or
-    empty text has zero of everything. Rows are never merged or dropped; other columns of
-    `docs` are ignored, whatever their names.
-    """
-    keep = keep or ["doc_id"]
+def _measured(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The measurements of each row, and its columns `keep` in the struct `_row`."""
     text = F.coalesce(F.col("text"), F.lit(""))
     df = docs.select(F.struct(*keep).alias("_row"), text.alias("_text"))
     df = df.withColumn("_words", white_words(F.col("_text")))
@@ -115,9 +109,18 @@ def measurements(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
     )
     df = _repeat_words(df)
-    return df.select(
-        "_row.*", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"
-    )
+    return df.select("_row", *MEASUREMENTS)
+
+
+def measurements(docs: DataFrame) -> DataFrame:
+    """doc_id of each row, with the measurements of its whole text.
+
+    n_words, word_chars (code points in words), n_symbols, n_lines (lines with a word),
+    n_dup_lines (of those, equal to an earlier one) and n_repeat_words, all long. A null or
+    empty text has zero of everything. Rows are never merged or dropped, null and repeated
+    doc_ids stay; other columns of `docs` are ignored, whatever their names.
+    """
+    return _measured(docs, ["doc_id"]).select("_row.*", *MEASUREMENTS)
 
 
 def failures() -> Column:
@@ -128,9 +131,9 @@ def failures() -> Column:
     return bits
 
 
-def rule_ledger(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def rule_ledger(docs: DataFrame) -> DataFrame:
     """`measurements` and `failed`, the bits of the rules that each document fails."""
-    return measurements(docs, keep).withColumn("failed", failures())
+    return measurements(docs).withColumn("failed", failures())
 
 
 def judged(ledger: DataFrame, policy: Policy = CURRENT) -> DataFrame:
@@ -163,7 +166,7 @@ def ablations(ledger: DataFrame, policy: Policy = CURRENT) -> DataFrame:
 
 def accepted(docs: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """The rows of `docs` that the policy keeps, with the columns they came with."""
-    ledger = judged(rule_ledger(docs, docs.columns), policy).select(F.struct(*docs.columns).alias("_row"), "kept")
+    ledger = judged(_measured(docs, docs.columns).withColumn("failed", failures()), policy).select("_row", "kept")
     # a filter is not moved below a projection that is not deterministic; moved down, it would
     # take the place of the columns it reads and evaluate each of them many times
     return ledger.withColumn("_here", F.spark_partition_id()).filter("kept and _here >= 0").select("_row.*")

@@ -26,12 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from noticemill.llm.common import input_size
-
 HEAD = struct.Struct("<BqB")
 FRAME = struct.Struct("<QI")
 CHECK = struct.Struct("<I")
-FILE_BYTES = 16 << 20
+# Text of one file, in bytes.
+FILE_BYTES = 32 << 20
 MANIFEST = "file_no int, data string, offsets string, n_records long, n_ids long"
 BATCH_BYTES = 4 << 20
 
@@ -86,12 +85,13 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, file_bytes: int =
 
     Null doc_ids come first; rows with the same doc_id are ordered by a hash of their text
     (equal rows all stay). A null text has the end id alone. Other columns are ignored. The
-    files follow each other in the order of `file_no`; at most `file_bytes` of input each,
-    as far as Spark knows its size. Returns the manifest, which is also in `path`/manifest.
+    files follow each other in the order of `file_no`, with about `file_bytes` of text each.
+    Returns the manifest, which is also in `path`/manifest.
     `path` must be a folder that all executors share.
     """
     spark = docs.sparkSession
-    files = max(spark.sparkContext.defaultParallelism, -(-input_size(docs) // file_bytes))
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    files = max(spark.sparkContext.defaultParallelism, -(-size // file_bytes))
     # equal rows of one id may be many: they are told apart by where they were read
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"), F.spark_partition_id().alias("_part"))
     order = ["doc_id", "_hash", "_part"]

@@ -72,9 +72,9 @@ class PrefixTree:
         by_rank = np.lexsort((owner, ranks))
         self.members = owner[by_rank]
         self.edges = np.concatenate([[0], np.cumsum(np.bincount(ranks, minlength=shared))])
-        by_set = np.lexsort((ranks, owner))
+        in_order = ranks[np.lexsort((ranks, owner))]
         cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sets)))])
-        paths = [ranks[by_set][a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        paths = [in_order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
         coded = [p.astype(">u4").tobytes() for p in paths]
         self.order = sorted(range(len(sets)), key=coded.__getitem__)
         self.paths = [paths[k] for k in self.order]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticemill.functions import text
-from noticemill.operators.skew import skew_join
+from noticemill.operators.skew import key_counts, skew_join
 
 # The site a detail link has to end at, and the mark of the id link.
 DETAIL_HOST = "zakupki"
@@ -29,11 +29,12 @@ def detail_ids(details: DataFrame, host: str = DETAIL_HOST) -> DataFrame:
 def enrich_223(collected: DataFrame, details: DataFrame, host: str = DETAIL_HOST) -> DataFrame:
     """Distinct collected rows with noticeinfoid and pfid, NULL when the page has none.
 
-    Every row stays: a number without a landed page is reported without ids. Each distinct
-    link is looked up once, and only its short ids move. Of a page landed several times the
+    Every row stays: a number without a landed page is reported without ids. Only pages of
+    the collected links are looked at, each distinct link once, and only its short ids move. Of a page landed several times the
     version with ids counts, if there are more the largest pair.
     """
-    per_href = detail_ids(details, host).groupBy("href").agg(F.max("ids").alias("ids"))
-    found = collected.select("href").distinct().join(per_href, "href")
-    rows = skew_join(collected.distinct(), found, ["href"], "left", hot_in=collected)
+    per_link = key_counts(collected, ["href"])
+    wanted = details.join(per_link.select("href"), "href", "left_semi")
+    found = detail_ids(wanted, host).groupBy("href").agg(F.max("ids").alias("ids"))
+    rows = skew_join(collected.distinct(), found, ["href"], "left", counts=per_link)
     return rows.select(*collected.columns, "ids.noticeinfoid", "ids.pfid")

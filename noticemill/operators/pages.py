@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from noticemill.functions import text
 from noticemill.operators.skew import skew_join
+from noticemill.session import stage
 
 
 def contiguous_pages(cards: DataFrame) -> DataFrame:
@@ -22,9 +23,13 @@ def contiguous_pages(cards: DataFrame) -> DataFrame:
         F.struct((page + 1).alias("page"), F.lit(False).alias("landed")),
         F.struct(F.lit(1).alias("page"), F.lit(False).alias("landed")),
     )
-    pages = cards.select("search_id", F.inline(asked)).groupBy("search_id", "page").agg(F.max("landed").alias("landed"))
+    pages = cards.select("search_id", F.inline(asked)).groupBy("search_id", "page").agg(
+        F.max("landed").alias("landed"), F.count(F.when(F.col("landed"), 1)).alias("_cards")
+    )
+    pages = stage(pages, "pages")  # a row for each page, read for the gaps and for the counts
     missing = pages.filter(~F.col("landed")).groupBy("search_id").agg(F.min("page").alias("first_missing"))
-    kept = skew_join(cards, missing, ["search_id"], "inner", spread_by=["page_num"])
+    counts = pages.groupBy("search_id").agg(F.sum("_cards").alias("_rows"))
+    kept = skew_join(cards, missing, ["search_id"], "inner", spread_by=["page_num"], counts=counts)
     return kept.filter((F.col("page_num") >= 1) & (F.col("page_num") < F.col("first_missing"))).select(*cards.columns)
 
 

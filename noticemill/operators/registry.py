@@ -1,7 +1,9 @@
 """Compare collected notices with the registry of known ones.
 
-Collected rows carry (law, notice_num); numbers under different laws never meet. Rows
-without a number belong to the rejects and are to be filtered before.
+Collected rows carry (law, notice_num); numbers under different laws never meet, so both
+laws are compared one after the other, each by number alone. Rows without a number belong
+to the rejects and are to be filtered before. The registry is cut down to the numbers of
+the run before anything of it is grouped.
 """
 
 from __future__ import annotations
@@ -9,44 +11,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticemill.functions.validity import LAWS, check_law
 from noticemill.operators.filters import law_filter
-from noticemill.operators.skew import skew_join
+from noticemill.operators.skew import key_counts, skew_join
+from noticemill.session import stage
 
 NUMBER_KEY = ["law", "notice_num"]
 
 
-def _of_law(rows: DataFrame, law: str | None) -> tuple[DataFrame, list[str]]:
-    """The rows of one law, compared by number alone, or all rows, compared by law and number."""
-    return (rows, NUMBER_KEY) if law is None else (law_filter(rows, law), ["notice_num"])
-
-
-def known_keys(registry: DataFrame, law: str | None = None) -> DataFrame:
-    """The keys that count as known, each once: (law, notice_num), for one law (notice_num).
+def known_keys(registry: DataFrame, numbers: DataFrame, law: str) -> DataFrame:
+    """Those of `numbers` (notice_num, distinct) that the registry knows under a law.
 
     A number counts as unknown when any of its registry rows lacks the notification id.
-    Copies of a number are combined in the map tasks. For one law of a registry bucketed by
-    number nothing of it is shuffled, here or in the join that follows.
+    Only registry rows of these numbers are grouped: where Spark finds the numbers small
+    they are broadcast and the rest of the registry is dropped at its scan. A registry
+    bucketed by number is not shuffled in any case.
     """
-    rows, keys = _of_law(registry.withColumnRenamed("notificationnumber", "notice_num"), law)
+    rows = law_filter(registry, law).withColumnRenamed("notificationnumber", "notice_num")
+    met = rows.select("notice_num", "id_notification").join(numbers, "notice_num", "left_semi")
     known = F.every(F.col("id_notification").isNotNull()).alias("_known")
-    return rows.groupBy(*keys).agg(known).filter("_known").drop("_known")
+    return met.groupBy("notice_num").agg(known).filter("_known").drop("_known")
 
 
-def _compare(collected: DataFrame, registry: DataFrame, law: str | None, how: str) -> DataFrame:
-    """Distinct numbers against the registry: both sides are unique, so there is no hot key."""
-    rows, keys = _of_law(collected, law)
-    found = rows.select(*keys).distinct().join(known_keys(registry, law), keys, how)
-    return found if law is None else found.select(F.lit(law).alias("law"), "notice_num")
+def _compare(numbers: DataFrame, registry: DataFrame, law: str | None, how: str) -> DataFrame:
+    """Distinct (law, notice_num) against the registry: both sides are unique, so there is no hot key."""
+    parts = []
+    for one in LAWS if check_law(law) is None else (law,):
+        of_law = numbers.filter(F.col("law") == one).select("notice_num")
+        found = of_law.join(known_keys(registry, of_law, one), "notice_num", how)
+        parts.append(found.select(F.lit(one).alias("law"), "notice_num"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def new_numbers(collected: DataFrame, registry: DataFrame, law: str | None = None) -> DataFrame:
     """Distinct collected (law, notice_num) that the registry does not know."""
-    return _compare(collected, registry, law, "left_anti")
+    return _compare(collected.select(*NUMBER_KEY).distinct(), registry, law, "left_anti")
 
 
 def known_numbers(collected: DataFrame, registry: DataFrame, law: str | None = None) -> DataFrame:
     """Distinct collected (law, notice_num) that the registry knows."""
-    return _compare(collected, registry, law, "left_semi")
+    return _compare(collected.select(*NUMBER_KEY).distinct(), registry, law, "left_semi")
 
 
 def new_rows(
@@ -54,31 +58,33 @@ def new_rows(
 ) -> DataFrame:
     """Collected rows whose number is new, repeats kept.
 
-    The registry meets the distinct numbers only. One number may come with very many rows,
-    so picking the rows is a skew-proof join; `spread_by` names the columns that tell the
-    rows of a number apart.
+    The collected rows are read twice: once to count them per number, which also gives the
+    distinct numbers that meet the registry, and once to pick the rows. One number may come
+    with very many rows, so picking is a skew-proof join; `spread_by` names the columns
+    that tell the rows of a number apart.
     """
-    rows, _ = _of_law(collected, law)
-    new = new_numbers(collected, registry, law)
-    return skew_join(rows, new, NUMBER_KEY, "left_semi", spread_by).select(*collected.columns)
+    rows = law_filter(collected, law)
+    counts = key_counts(rows, NUMBER_KEY)
+    new = _compare(counts.select(*NUMBER_KEY), registry, law, "left_anti")
+    return skew_join(rows, new, NUMBER_KEY, "left_semi", spread_by, counts).select(*collected.columns)
 
 
 def run_report(collected: DataFrame, registry: DataFrame) -> DataFrame:
     """Per list and law: rows and distinct numbers found, and how many of them are new.
 
-    Rows are first counted per (list, law, number) in the map tasks; one join flags the
-    numbers and a second count per list follows.
+    Rows are counted per (list, law, number) in the map tasks and written; one join flags
+    the numbers and a second count per list follows.
     """
-    per_number = collected.groupBy("list_id", *NUMBER_KEY).agg(F.count(F.lit(1)).alias("_rows"))
-    known = known_numbers(collected, registry).withColumn("_is_known", F.lit(True))
+    per_number = stage(collected.groupBy("list_id", *NUMBER_KEY).agg(F.count(F.lit(1)).alias("_found")), "per-number")
+    known = known_numbers(per_number, registry).withColumn("_is_known", F.lit(True))
     is_new = F.col("_is_known").isNull()
     return (
-        skew_join(per_number, known, NUMBER_KEY, "left", spread_by=["list_id"], hot_in=collected)
+        skew_join(per_number, known, NUMBER_KEY, "left", spread_by=["list_id"])
         .groupBy("list_id", "law")
         .agg(
-            F.sum("_rows").alias("found_rows"),
+            F.sum("_found").alias("found_rows"),
             F.count(F.lit(1)).alias("found_distinct"),
-            F.sum(F.when(is_new, F.col("_rows")).otherwise(0)).alias("new_rows"),
+            F.sum(F.when(is_new, F.col("_found")).otherwise(0)).alias("new_rows"),
             F.count(F.when(is_new, 1)).alias("new_distinct"),
         )
     )

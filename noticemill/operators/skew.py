@@ -2,41 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Share of the rows in which hot keys are looked for; all rows are joined all the same. A
-# key worth splitting has so many rows that this share shows it.
-LOOK_AT = 0.02
-# Keys the frequent-items sketch reports and keys it tracks. A key that holds more than
-# about 1/100 of the rows it sees is certain to be among them.
-HOT_KEYS = 64
-TRACKED_KEYS = 4096
-# The sketches of the map tasks are merged in this many groups first, then once more.
-SKETCH_GROUPS = 256
+from noticemill.session import stage
 
-# Rows of one position block in `number_rows`.
-BLOCK_ROWS = 65536
+# Keys that are spread, the most frequent ones.
+HOT_KEYS = 64
 
 
-def _key_hash(keys: list[str]) -> Column:
-    return F.xxhash64(*keys)
+def key_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys…, _rows): the rows of each key, combined in the map tasks and written once."""
+    return stage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
 
 
-def hot_key_hashes(rows: DataFrame, keys: list[str]) -> Column:
-    """Hashes of the most frequent keys, as an array that Spark computes in a subquery.
+def hot_key_hashes(counts: DataFrame, keys: list[str]) -> list[int]:
+    """Hashes of the `HOT_KEYS` most frequent keys that have more than one row.
 
-    One pass over the key columns, combined in the map tasks and merged in two steps; the
-    result has at most `HOT_KEYS` numbers whatever the size of `rows`.
+    Runs a job, which sends that many numbers to the driver, whatever the size of `counts`.
     """
-    hashes = rows.sample(fraction=LOOK_AT, seed=1).select(
-        _key_hash(keys).alias("_key"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
-    )
-    per_group = hashes.groupBy("_group").agg(F.expr(f"approx_top_k(_key, {HOT_KEYS}, {TRACKED_KEYS})").alias("_top"))
-    tops = F.flatten(F.collect_list("_top"))  # at most SKETCH_GROUPS * HOT_KEYS entries
-    by_count = F.array_sort(F.transform(tops, lambda top: F.struct(-top["count"], top["item"].alias("item"))))
-    hottest = F.slice(F.array_distinct(F.transform(by_count, lambda top: top["item"])), 1, HOT_KEYS)
-    return F.coalesce(per_group.agg(hottest.alias("_hot")).scalar(), F.array().cast("array<bigint>"))
+    hashes = counts.filter(F.col("_rows") > 1).select(F.xxhash64(*keys).alias("_hash"), "_rows")
+    return [row["_hash"] for row in hashes.orderBy(F.desc("_rows"), "_hash").limit(HOT_KEYS).collect()]
 
 
 def skew_join(
@@ -45,19 +31,22 @@ def skew_join(
     keys: list[str],
     how: str,
     spread_by: list[str] | None = None,
-    hot_in: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join of `rows`, which may pile up on a few keys, with a table of one row per key.
 
     Rows of a hot key are spread over all shuffle partitions and its table row is copied to
-    each of them: at most `HOT_KEYS` rows are copied. Every other key is joined once. Which
-    keys count as hot changes the speed only, so they may be looked up in `hot_in`, a
-    cheaper superset of `rows`. `spread_by` names the columns that tell the rows of one key
-    apart, all columns unless given. `how` is inner, left, left_semi or left_anti.
+    each of them: at most `HOT_KEYS` rows are copied. Every other key is joined once. The
+    hot keys are taken from exact `counts` (see `key_counts`; made here unless given) and
+    stand in the plan as numbers, so both sides agree on them. `spread_by` names the
+    columns that tell the rows of one key apart, all columns unless given. `how` is inner,
+    left, left_semi or left_anti.
     """
     splits = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_key_hashes(rows if hot_in is None else hot_in, keys)
-    is_hot = F.array_contains(hot, _key_hash(keys))
+    hot = hot_key_hashes(key_counts(rows, keys) if counts is None else counts, keys)
+    if not hot:
+        return rows.join(table, keys, how)
+    is_hot = F.xxhash64(*keys).isin(hot)
     part = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(splits)).cast("int")
     salted = rows.withColumn("_salt", F.when(is_hot, part).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
@@ -68,23 +57,26 @@ def skew_join(
 def number_rows(df: DataFrame, group: list[str], order: str) -> DataFrame:
     """Add `row_pos` (0-based by `order` inside the group) and `group_rows`.
 
-    `order` is an integer column without repeats inside a group. A group is cut into
-    blocks of order values, rows are numbered inside a block, and a running count over
-    the blocks gives each its start: no task sorts a whole group.
+    `order` has no repeats inside a group. The rows are sorted over all tasks and written;
+    each task numbers its part of a group, and a running count over the parts of a group,
+    at most one per task, gives each its start. No task sorts a whole group, however its
+    order values lie.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(order) / BLOCK_ROWS))
-    sizes = blocked.groupBy(*group, "_block").agg(F.count(F.lit(1)).alias("_rows"))
-    running = Window.partitionBy(*group).orderBy("_block")
+    splits = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(splits, *group, order).withColumn("_part", F.spark_partition_id())
+    ranged = stage(ranged, "numbered")
+    sizes = ranged.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    running = Window.partitionBy(*group).orderBy("_part")
     starts = sizes.select(
         *group,
-        "_block",
+        "_part",
         (F.sum("_rows").over(running) - F.col("_rows")).alias("_start"),
         F.sum("_rows").over(Window.partitionBy(*group)).alias("group_rows"),
     )
-    inside = Window.partitionBy(*group, "_block").orderBy(order)
+    inside = Window.partitionBy(*group, "_part").orderBy(order)
     return (
-        blocked.withColumn("_rank", F.row_number().over(inside))
-        .join(starts, [*group, "_block"])
+        ranged.withColumn("_rank", F.row_number().over(inside))
+        .join(starts, [*group, "_part"])
         .withColumn("row_pos", F.col("_start") + F.col("_rank") - 1)
-        .drop("_block", "_start", "_rank")
+        .drop("_part", "_start", "_rank")
     )

@@ -1,11 +1,12 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from noticemill.operators import skew
 from noticemill.operators.enrich import detail_ids, enrich_223
 from noticemill.operators.registry import known_numbers, new_numbers, new_rows, run_report
+from noticemill.session import stage
 from noticemill.sources.registry import load_registry, write_registry, write_registry_table
 from tests.conftest import plan_of, rows
 
@@ -92,11 +93,56 @@ def test_bucketed_registry_is_not_shuffled(spark, plain_joins):
     collected = collected_df(spark, [("l", "44", str(i), "h") for i in range(0, 300, 3)])
     new = new_numbers(collected, spark.table("registry_buckets"), "44").select("notice_num")
     expected = sorted((str(i),) for i in range(0, 300, 3) if not (i < 200 and i % 2))
-    plan = plan_of(new)
     assert rows(new) == expected
-    assert "Bucketed: true" in plan
-    # the collected numbers are shuffled to the buckets, nothing else is
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert exchanges_below_joins(plan_of(new), "registry_buckets") == 0
+    # both laws are compared by number alone, so the buckets serve them too
+    both = collected.unionByName(collected.withColumn("law", F.lit("223")))
+    for compared in (new_numbers(both, spark.table("registry_buckets")), known_numbers(both, spark.table("registry_buckets"))):
+        compared.collect()
+        plan = plan_of(compared)
+        assert "Bucketed: true" in plan and exchanges_below_joins(plan, "registry_buckets") == 0
+
+
+def exchanges_below_joins(plan, table):
+    """Exchanges between a scan of the table and the first join above it."""
+    lines = plan.split("== Initial Plan ==")[0].splitlines()
+    depth = lambda line: re.search(r"[A-Za-z*]", line).start()
+    found = 0
+    for i, line in enumerate(lines):
+        if "FileScan" not in line or table not in line:
+            continue
+        at = depth(line)
+        for above in reversed(lines[:i]):
+            if re.search(r"[A-Za-z*]", above) and depth(above) < at:
+                at = depth(above)
+                if "Join" in above:
+                    break
+                found += "Exchange" in above
+    return found
+
+
+def test_only_registry_rows_of_the_run_are_shuffled(spark, plain_joins):
+    registry = stage(spark.range(50_000).select("id", F.col("id").cast("string").alias("n"), F.lit("44").alias("law")), "registry")
+    registry = registry.toDF("id_notification", "notificationnumber", "law")
+    collected = stage(collected_df(spark, [("l", "44", str(i), "h") for i in range(49_990, 50_010)]), "collected")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for compared in (new_numbers(collected, registry), known_numbers(collected, registry, "44")):
+        assert compared.count() == 10
+        compared.collect()
+        plan = plan_of(compared)
+        # the run's numbers are broadcast, and the registry is cut down at its scan
+        assert "BroadcastHashJoin" in plan
+        assert exchanges_below_joins(plan, "id_notification") == 0
+
+
+def test_only_detail_pages_of_the_run_are_grouped(spark):
+    details = details_df(spark, [(f"/{i}", f"zakupki?noticeInfoId={i}", f"?pfid={i}") for i in range(2000)])
+    details = stage(details, "details")
+    collected = stage(spark.createDataFrame([("1", "/7"), ("2", "/none")], "notice_num string, href string"), "collected")
+    got = enrich_223(collected, details)
+    assert rows(got) == [("1", "/7", "7", "7"), ("2", "/none", None, None)]
+    assert exchanges_below_joins(plan_of(got), "icon_hrefs") == 0
 
 
 DETAILS = "href string, final_url string, icon_hrefs string"
@@ -134,8 +180,7 @@ def test_other_host(spark):
 
 
 @pytest.mark.parametrize("hot", ["num", "href"])
-def test_one_key_holds_a_third_of_all_rows(spark, plain_joins, hot, monkeypatch):
-    monkeypatch.setattr(skew, "LOOK_AT", 1.0)
+def test_one_key_holds_a_third_of_all_rows(spark, plain_joins, hot):
     n = 6000
     ids = spark.range(n)
     key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 500))

@@ -13,10 +13,12 @@ equals in one place.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import DataFrame
 
 from noticemill.llm.blocks import LAST
-from noticemill.llm.repeats import Place, without_repeats
+from noticemill.llm.repeats import Place, Run, without_repeats
 
 WINDOW = 13
 GRAM = 5
@@ -92,17 +94,18 @@ class SuffixAutomaton:
             yield size, state
 
 
-def smallest_documents(texts: list[list[bytes]], at: list[int], places: list[Place], length: int) -> list[list[Place]]:
-    """For each window of each segment the smallest doc_id that has it, as a place without a row."""
+def smallest_documents(texts: list[list[bytes]], at: list[int], places: list[Place], length: int) -> list[list[Run]]:
+    """For the windows of each segment, in runs, the smallest doc_id that has them; rows and words are left 0."""
     automaton = SuffixAutomaton()
     for words, (doc, _, _) in zip(texts, places):
         automaton.add(words, doc)
     automaton.finish()
     label = automaton.label
-    return [
-        [(label[state], 0, 0) for size, state in automaton.matches(words, length) if size >= length]
-        for words in texts
-    ]
+    out = []
+    for words in texts:
+        labels = [label[state] for size, state in automaton.matches(words, length) if size >= length]
+        out.append([(sum(1 for _ in same), doc, 0, 0) for doc, same in groupby(labels)])
+    return out
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:

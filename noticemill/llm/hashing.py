@@ -49,10 +49,12 @@ def leftmost_minima(values: np.ndarray, window: int) -> np.ndarray:
     """For each run of `window` values the place of its smallest, the leftmost of equal ones."""
     if len(values) < window:
         return np.zeros(0, np.int64)
-    best, width = np.arange(len(values)), 1
+    least, place, width = values, np.arange(len(values)), 1
     while width < window:
         step = min(width, window - width)  # runs of `width` twice, overlapping at the end
-        left, right = best[: len(best) - step], best[step:]
-        best = np.where(values[right] < values[left], right, left)
+        size = len(least) - step
+        right = least[step:] < least[:size]
+        place = np.where(right, place[step:], place[:size])
+        least = np.minimum(least[:size], least[step:])
         width += step
-    return best
+    return place

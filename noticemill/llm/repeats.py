@@ -25,11 +25,13 @@ from noticemill.llm.blocks import LAST
 from noticemill.llm.common import written
 from noticemill.llm.hashing import WordHashes, leftmost_minima, sequence_hashes
 
-HOT = 512
+HOT = 4096
 # Characters of segments in one shard, on average.
 SHARD_BYTES = 400_000
 Place = tuple[int, int, int]  # doc_id (LAST for null), row number, word
-Engine = Callable[[list[list[bytes]], list[int], list[Place], int], list[list[Place]]]
+Run = tuple[int, int, int, int]  # windows, and the place of the first; the others follow word by word
+# Words, place of the anchor and first place of each segment, and the words of a window.
+Engine = Callable[[list[list[bytes]], list[int], list[Place], int], list[list[Run]]]
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -114,23 +116,17 @@ def _segments(length: int, gram: int, buckets: int):
     return run
 
 
-def _runs(places: list[Place]) -> bytes:
-    """First places of a segment's windows, one entry for each run that goes on word by word."""
-    runs: list[list[int]] = []
-    for i, (doc, row, word) in enumerate(places):
-        if runs and runs[-1][1:] == [doc, row, word - i]:
-            runs[-1][0] += 1
-        else:
-            runs.append([1, doc, row, word - i])
-    return np.array(runs, "<i8").tobytes()
-
-
-def _places(raw: bytes) -> list[Place]:
-    out: list[Place] = []
-    for n, doc, row, word in np.frombuffer(raw, "<i8").reshape(-1, 4).tolist():
-        i = len(out)
-        out.extend((doc, row, word + j) for j in range(i, i + n))
-    return out
+def runs_of(places: list[Place]) -> list[Run]:
+    """Places of successive windows as runs."""
+    runs: list[Run] = []
+    start, first = 0, None
+    for i, (doc, row, word) in enumerate([*places, (None, None, 0)]):
+        if first is not None and (doc, row, word) == (first[0], first[1], first[2] + i - start):
+            continue
+        if first is not None:
+            runs.append((i - start, *first))
+        start, first = i, (doc, row, word)
+    return runs
 
 
 def first_places(stored: DataFrame, length: int, gram: int, engine: Engine, apart: DataFrame) -> DataFrame:
@@ -181,7 +177,8 @@ def first_places(stored: DataFrame, length: int, gram: int, engine: Engine, apar
                 places.append(tuple(place))
             elif tuple(place) < places[k]:
                 places[k] = tuple(place)
-        found = [_runs(x) for x in engine([t.split(b" ") for t in number], at, places, length)]
+        solved = engine([t.split(b" ") for t in number], at, places, length)
+        found = [np.array(runs, "<i8").tobytes() for runs in solved]
         return pa.table(
             {
                 "block": group.column("block"),
@@ -270,17 +267,19 @@ def without_repeats(docs: DataFrame, length: int, gram: int, engine: Engine, wit
                 continue
             gone, stretches = np.zeros(len(words) + 1, np.int32), []
             doc, row = doc_key(doc_id), blocks.row_number(block, place)
-            for first, idx in sorted(by_row.get(place, ())):
-                for i, (of_doc, of_row, of_word) in enumerate(_places(runs[idx])):
-                    start = first + i
-                    if not (of_doc < doc or within and (of_doc, of_row, of_word) < (doc, row, start)):
-                        continue
-                    gone[start] += 1
-                    gone[start + length] -= 1
-                    if stretches and start <= stretches[-1][1]:
-                        stretches[-1][1] = start + length
-                    else:
-                        stretches.append([start, start + length, of_doc, of_word])
+            for first, idx in sorted(by_row[place]):
+                start = first
+                for n, of_doc, of_row, of_word in np.frombuffer(runs[idx], "<i8").reshape(-1, 4).tolist():
+                    # the windows of a run are as far from their first places as its first window
+                    if of_doc < doc or within and (of_doc, of_row, of_word) < (doc, row, start):
+                        end = start + n - 1 + length
+                        gone[start] += 1
+                        gone[end] -= 1
+                        if stretches and start <= stretches[-1][1]:
+                            stretches[-1][1] = max(end, stretches[-1][1])
+                        else:
+                            stretches.append([start, end, of_doc, of_word])
+                    start += n
             covered = np.cumsum(gone[:-1]) > 0
             n_words.append(len(words))
             n_removed.append(int(covered.sum()))

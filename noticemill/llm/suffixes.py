@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from noticemill.llm.repeats import Place, without_repeats
+from noticemill.llm.repeats import Place, Run, runs_of, without_repeats
 
 # A passage is repeated from this many words on.
 LENGTH = 50
@@ -22,7 +22,7 @@ GRAM = 10
 def first_equal_windows(gram: int):
     """The engine of the sparse suffix array for anchors of `gram` words."""
 
-    def solve(texts: list[list[bytes]], at: list[int], places: list[Place], length: int) -> list[list[Place]]:
+    def solve(texts: list[list[bytes]], at: list[int], places: list[Place], length: int) -> list[list[Run]]:
         numbers: dict[bytes, int] = {}
         for words in texts:
             for word in words:
@@ -31,12 +31,16 @@ def first_equal_windows(gram: int):
         coded = [np.array([numbers[w] for w in words], ">u4").tobytes() for words in texts]
         suffixes = [raw[4 * a :] for raw, a in zip(coded, at)]
         order = sorted(range(len(texts)), key=suffixes.__getitem__)
-        out: list[list[Place]] = [[] for _ in texts]
+        out: list[list[Run]] = [[] for _ in texts]
         start = 0
         for i in range(1, len(order) + 1):
             if i < len(order) and suffixes[order[i]][: 4 * gram] == suffixes[order[start]][: 4 * gram]:
                 continue
             run, start = order[start:i], i
+            if len(run) == 1:
+                # windows around one anchor differ, so this segment's own places are the first
+                out[run[0]] = [(len(texts[run[0]]) - length + 1, *places[run[0]])]
+                continue
             first: dict[bytes, Place] = {}
             windows = [[coded[k][4 * j : 4 * (j + length)] for j in range(len(texts[k]) - length + 1)] for k in run]
             for k, extended in zip(run, windows):
@@ -46,7 +50,7 @@ def first_equal_windows(gram: int):
                     if window not in first or here < first[window]:
                         first[window] = here
             for k, extended in zip(run, windows):
-                out[k] = [first[window] for window in extended]
+                out[k] = runs_of([first[window] for window in extended])
         return out
 
     return solve

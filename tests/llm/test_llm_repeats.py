@@ -120,10 +120,17 @@ def test_automaton_knows_all_substrings_and_their_least_label():
                 assert found.label[state] == least["".join(stream[end - size : end])]
 
 
+def test_runs_of_places():
+    places = [(1, 2, 5), (1, 2, 6), (1, 2, 8), (1, 3, 9), (1, 3, 10), (0, 3, 11)]
+    assert repeats.runs_of(places) == [(2, 1, 2, 5), (1, 1, 2, 8), (2, 1, 3, 9), (1, 0, 3, 11)]
+    assert repeats.runs_of([]) == []
+
+
 def test_engines_agree_on_windows():
     rng = random.Random(5)
     texts = [[rng.choice([b"a", b"b", b"c"]) for _ in range(20)] for _ in range(12)]
     places = [(i, 0, 0) for i in range(12)]
     one = automaton.smallest_documents(texts, [0] * 12, places, 4)
     two = suffixes.first_equal_windows(0)(texts, [0] * 12, places, 4)
-    assert [[p[0] for p in row] for row in one] == [[p[0] for p in row] for row in two]
+    spread = lambda runs: [doc for n, doc, _, _ in runs for _ in range(n)]
+    assert [spread(runs) for runs in one] == [spread(runs) for runs in two]

@@ -200,6 +200,25 @@ def kw_in_attachments(t: Fixtures) -> DataFrame:
     return by_policy[0].unionByName(by_policy[1])
 
 
+def _item_words(t: Fixtures) -> DataFrame:
+    """Each benchmark passage is a list of its words of seven letters and more."""
+    words = F.filter(F.array_distinct(F.split("text", keywords.TOKEN_BREAK)), lambda w: F.length(w) >= 7)
+    return t.benchmark.select(F.concat(F.lit("item_"), "item_id").alias("list_id"), F.explode(words).alias("term"))
+
+
+@query
+def kw_dictionary(t: Fixtures) -> DataFrame:
+    """Hundreds of terms: one dictionary."""
+    return keywords.keyword_matches(t.documents, keywords.clauses_of(_item_words(t), "any"), "doc_id")
+
+
+@query
+def kw_slices(t: Fixtures) -> DataFrame:
+    """The same terms in several dictionaries, all of a list wanted; attachments are further texts of an id."""
+    texts = t.documents.select("doc_id", "text").unionByName(t.conversations.select(F.col("conv_id").alias("doc_id"), "text"))
+    return keywords.keyword_matches(texts, keywords.clauses_of(_item_words(t), "all"), "doc_id", dictionary_terms=50)
+
+
 @query
 def kw_tokens(t: Fixtures) -> DataFrame:
     """Each benchmark passage is a list of its tokens; a text matches with all of them."""
@@ -239,6 +258,11 @@ def code_search(t: Fixtures) -> DataFrame:
     return codes.code_search(t.items, _codes(t.code_lists), t.code_tree)
 
 
+@query
+def code_unmatched(t: Fixtures) -> DataFrame:
+    return search.unmatched_list_codes(_many_codes(t), t.code_tree)
+
+
 # Joins
 
 
@@ -379,6 +403,29 @@ def run_kw_44(t: Fixtures) -> DataFrame:
     return search.run_keywords(t.notices, t.registry, t.documents, _terms(t.lists), "44", "any", AS_OF, 2000)
 
 
+def _attachments(t: Fixtures) -> DataFrame:
+    return t.conversations.select(F.col("conv_id").alias("doc_id"), "text")
+
+
+@query
+def run_kw_44_attachments(t: Fixtures) -> DataFrame:
+    """Both policies, with attachments."""
+    runs = [
+        search.run_keywords(
+            t.notices, t.registry, t.documents, _terms(t.lists), "44", policy, AS_OF, 2000, attachments=_attachments(t)
+        ).withColumn("policy", F.lit(policy))
+        for policy in keywords.POLICIES
+    ]
+    return runs[0].unionByName(runs[1])
+
+
+@query
+def run_kw_223(t: Fixtures) -> DataFrame:
+    return search.run_keywords(
+        t.hrefs, t.registry, t.documents, _terms(t.lists), "223", "any", AS_OF, 2000, details=t.detail_pages
+    )
+
+
 @query
 def run_223(t: Fixtures) -> DataFrame:
     return search.run_notices_223(t.hrefs, t.registry, t.detail_pages)
@@ -389,6 +436,40 @@ def run_okpd_44(t: Fixtures) -> DataFrame:
     return search.run_codes(t.notices, t.registry, t.items, _codes(t.code_lists), t.code_tree, "44")
 
 
+@query
+def run_okpd_223(t: Fixtures) -> DataFrame:
+    return search.run_codes(
+        t.hrefs, t.registry, t.items, _codes(t.code_lists), t.code_tree, "223", details=t.detail_pages
+    )
+
+
+@query
+def run_all(t: Fixtures) -> DataFrame:
+    """Keyword and code runs under both laws, written by one sink and read back."""
+    path = new_path(t.spark, "output")
+    lines.write_lines(search.run_all([run_kw_44(t), run_kw_223(t)], [run_okpd_44(t), run_okpd_223(t)]), path, RUN_AT)
+    return lines.read_lines(t.spark, path, with_source=True).select("source", "list_id", "line")
+
+
+def _run_pages(t: Fixtures, law: str) -> DataFrame:
+    """Lines, and the rejects with their reason."""
+    found, rejects = search.run_pages(t.search_pages, t.registry, law, t.detail_pages)
+    rejected = F.concat_ws(" ", "reason", "notice_num", "href")
+    return found.withColumn("kind", F.lit("line")).unionByName(
+        rejects.select("list_id", rejected.alias("line"), F.lit("reject").alias("kind"))
+    )
+
+
+@query
+def run_pages_44(t: Fixtures) -> DataFrame:
+    return _run_pages(t, "44")
+
+
+@query
+def run_pages_223(t: Fixtures) -> DataFrame:
+    return _run_pages(t, "223")
+
+
 # Streams
 
 
@@ -402,11 +483,17 @@ def stream_lists_query(t: Fixtures) -> DataFrame:
 
 @query
 def stream_new_notices_query(t: Fixtures) -> DataFrame:
-    """All notices landed twice, streamed."""
+    """All notices landed twice, newest first in six files, streamed with one file per batch."""
     landed, out, checkpoint = (new_path(t.spark, f"notices-{n}") for n in ("landed", "out", "state"))
     notices = t.notices.select("law", "notice_num", F.col("published_on").cast("timestamp").alias("published_ts"))
-    notices.unionByName(notices).write.parquet(landed)
+    first, last = notices.agg(F.min("published_ts"), F.max("published_ts")).first()
+    step = (last - first) / 3
+    for i in (2, 1, 0):
+        newer = F.col("published_ts") >= F.lit(first + i * step)
+        part = notices.filter(newer & (F.col("published_ts") < F.lit(first + (i + 1) * step)) if i < 2 else newer)
+        for _ in range(2):
+            part.coalesce(1).write.mode("append").parquet(landed)
     stream_new_notices(
-        t.spark, landed, notices.schema, lambda: t.registry, out, checkpoint, window_days=30
+        t.spark, landed, notices.schema, lambda: t.registry, out, checkpoint, window_days=30, files_per_batch=1
     ).awaitTermination()
     return t.spark.read.parquet(out).select("law", "notice_num")

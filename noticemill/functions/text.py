@@ -12,7 +12,15 @@ NUMBER_AFTER_SIGN = f"№{SPACE}?(\\p{{Nd}}+)"
 NOTICE_ID_IN_URL = r"noticeInfoId=(\p{Nd}+)"
 PFID_IN_URL = r"pfid=(\p{Nd}+)"
 LINE_BREAK = r"\r\n|\r|\n"
-LINK_HREF = r'<a [^>]*href="([^"]*)"'
+# What is no markup, start tags of anchors, and their attributes. Outside
+# quotes `<` ends a tag, and no group gives back what it has read, so that no page takes
+# more than a few passes however its quotes and comments are left open.
+NO_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+ANCHOR_TAG = r"""(?is)<a(?=[\s/>])((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>"""
+ATTRIBUTE = r"""(?s)([^\s=/"'>]++)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]*+))?+"""
+# The entities that are decoded beside numeric ones; `&amp;` comes last.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\xa0"}
+NUMERIC_ENTITY = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
 # The upper half of windows-1251 and the same bytes read as Latin-1.
 _HIGH_BYTES = bytes(range(128, 256))
@@ -70,9 +78,39 @@ def pfid(url: Column) -> Column:
     return none_if_empty(F.regexp_extract(url, PFID_IN_URL, 1))
 
 
+def decode_entities(col: Column) -> Column:
+    """Numeric entities and the most usual named ones as characters."""
+    for entity, char in ENTITIES.items():
+        col = F.replace(col, F.lit(entity), F.lit(char))
+
+    def character(entity: Column) -> Column:
+        hexadecimal = entity.rlike("^&#[xX]")
+        digits = F.regexp_replace(entity, "[&#xX;]", "")
+        number = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+    numeric = F.array_distinct(F.regexp_extract_all(col, F.lit(NUMERIC_ENTITY), 0))
+    col = F.aggregate(numeric, col, lambda text, entity: F.replace(text, entity, character(entity)))
+    return F.replace(col, F.lit("&amp;"), F.lit("&"))
+
+
 def links(html: Column) -> Column:
-    """All anchor targets of a page, in page order."""
-    return F.regexp_extract_all(html, F.lit(LINK_HREF), 1)
+    """All anchor targets of a page, in page order.
+
+    Any case, white space and kind of quotes; anchors in comments, scripts and styles and
+    attributes of other names do not count. Of several `href` of an anchor the first counts.
+    """
+    tags = F.regexp_extract_all(F.regexp_replace(html, NO_MARKUP, ""), F.lit(ANCHOR_TAG), 1)
+
+    def target(tag: Column) -> Column:
+        names = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 1)
+        values = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 2)
+        at = F.array_position(F.transform(names, lambda name: F.lower(name)), F.lit("href"))
+        value = F.get(values, at.cast("int") - 1)
+        return F.when(at > 0, F.regexp_replace(value, "(?s)^([\"'])(.*)\\1$", "$2"))
+
+    return F.transform(F.array_compact(F.transform(tags, target)), decode_entities)
 
 
 def first_link_with(hrefs: Column, needle: str) -> Column:

@@ -1,7 +1,8 @@
 """Keyword search: which lists does a text match.
 
 A term matches by case-insensitive literal containment in the whole text. Under policy
-`any` a list matches when one of its terms does, under `all` when every one does.
+`any` a list matches when one of its terms does, under `all` when every one does. All texts
+of an id count together: under `all` the terms may be in different ones.
 
 A list is kept as clauses (list_id, clause, term): it matches when all terms of one of its
 clauses are found. `any` makes each term a clause, `all` makes the list one clause, and
@@ -10,33 +11,27 @@ the chunked mode makes each chunk one.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable, Collection, Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
-from itertools import chain
 from operator import and_, or_
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticemill.operators.chunks import chunk_terms
-from noticemill.session import stage
-
-try:
-    import ahocorasick
-except ImportError:  # then terms are tried one after the other
-    ahocorasick = None
+from noticemill.operators.skew import key_counts, skew_join
+from noticemill.session import file_system, new_path, stage
 
 POLICIES = ("any", "all")
 # Up to this many terms are searched one by one inside the JVM; beyond it one dictionary
 # pass over the text is faster (measured: from about ten terms on).
 LITERAL_TERMS = 16
-# Terms of one dictionary, which is broadcast; more terms mean more dictionaries.
+# Terms of one dictionary. More terms mean more dictionaries, which a task loads one after
+# the other for every `HELD_CHARACTERS` of text that it has read.
 DICTIONARY_TERMS = 200_000
-# Copies of the clause table, so that a term found in most texts is joined by many tasks.
-TERM_SPLITS = 64
+HELD_CHARACTERS = 32_000_000
 # What separates tokens.
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 
@@ -60,22 +55,22 @@ def clauses_per_chunk(lists: DataFrame, parts: int) -> DataFrame:
     return chunked.select("list_id", F.col("chunk").cast("string").alias("clause"), F.lower("term").alias("term")).distinct()
 
 
-def keyword_matches(texts: DataFrame, clauses: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
-    """Distinct (list_id, id) of the lists each text matches; one text per id.
+def keyword_matches(
+    texts: DataFrame, clauses: DataFrame, id_col: str, text_col: str = "text", dictionary_terms: int = DICTIONARY_TERMS
+) -> DataFrame:
+    """Distinct (list_id, id) of the lists that the texts of an id match.
 
-    Few terms are predicates in the plan, more go into a dictionary that each task searches
-    its texts with; both take one pass and no shuffle. Only terms beyond one dictionary
-    make joins of ids and terms necessary.
+    The texts are scanned once and not shuffled, however many terms there are; what moves
+    is the terms found per id.
     """
-    rows = _rows_up_to(clauses, DICTIONARY_TERMS)
-    if rows is None:
-        return lists_satisfied(found_terms(texts, clauses.select("term"), [id_col], text_col), clauses, id_col)
-    lowered = texts.select(id_col, F.lower(text_col).alias("_text"))
-    if len(rows) <= LITERAL_TERMS:
-        matched = _matched_lists(rows, lambda term: F.contains(F.col("_text"), F.lit(term)))
-    else:
-        matched = _dictionary_lists(texts.sparkSession, rows)(F.col("_text"))
-    return lowered.select(F.explode(matched).alias("list_id"), id_col)
+    found = found_terms(texts, clauses.select("term"), [id_col], text_col, dictionary_terms)
+    inline = _rows_up_to(clauses, LITERAL_TERMS)
+    if inline is None:
+        return lists_satisfied(found, clauses, id_col)
+    # at most LITERAL_TERMS different terms, combined in the map tasks: any number of texts is fine
+    per_id = found.groupBy(id_col).agg(F.collect_set("term").alias("_found"))
+    matched = _matched_lists(inline, lambda term: F.array_contains("_found", F.lit(term)))
+    return per_id.select(F.explode(matched).alias("list_id"), id_col)
 
 
 def _rows_up_to(table: DataFrame, limit: int) -> list | None:
@@ -97,7 +92,9 @@ def _matched_lists(clauses: list, has: Callable[[str], Column]) -> Column:
     )
 
 
-def found_terms(texts: DataFrame, terms: DataFrame, id_cols: list[str], text_col: str = "text") -> DataFrame:
+def found_terms(
+    texts: DataFrame, terms: DataFrame, id_cols: list[str], text_col: str = "text", dictionary_terms: int = DICTIONARY_TERMS
+) -> DataFrame:
     """(ids…, term) for every term a text contains, each once per text. No text is shuffled."""
     terms = terms.select("term").distinct()
     lowered = texts.select(*id_cols, F.lower(text_col).alias("_text"))
@@ -105,14 +102,7 @@ def found_terms(texts: DataFrame, terms: DataFrame, id_cols: list[str], text_col
     if inline is not None:
         found = [F.when(F.contains(F.col("_text"), F.lit(term)), F.lit(term)) for (term,) in inline]
         return lowered.select(*id_cols, F.explode(_present(found)).alias("term"))
-
-    slices = -(-terms.count() // DICTIONARY_TERMS)
-    slice_of = F.pmod(F.xxhash64("term"), F.lit(slices))
-    passes = [
-        lowered.select(*id_cols, F.explode(_dictionary_search(terms.filter(slice_of == i))(F.col("_text"))).alias("term"))
-        for i in range(slices)
-    ]
-    return reduce(DataFrame.unionByName, passes)
+    return _dictionary_pass(lowered, terms, id_cols, dictionary_terms)
 
 
 def _present(values: list[Column]) -> Column:
@@ -120,10 +110,12 @@ def _present(values: list[Column]) -> Column:
     return F.array_compact(F.array(*values).cast("array<string>"))
 
 
-def _finder(words: Collection[str]) -> Callable[[str], set[str]]:
+def _finder(words: list[str]) -> Callable[[str], set[str]]:
     """A function that gives the words a text contains, in one pass over the text."""
-    if ahocorasick is None or not words:
-        return lambda text: {word for word in words if word in text}
+    import ahocorasick
+
+    if not words:
+        return lambda text: set()
     automaton = ahocorasick.Automaton()
     for word in words:
         automaton.add_word(word, word)
@@ -131,39 +123,58 @@ def _finder(words: Collection[str]) -> Callable[[str], set[str]]:
     return lambda text: {word for _, word in automaton.iter(text)}
 
 
-def _dictionary_search(terms: DataFrame):
-    """A column function: the terms of one dictionary slice a text contains."""
-    dictionary = terms.sparkSession.sparkContext.broadcast([row.term for row in terms.collect()])
+# The dictionary a worker has loaded last: (folder, number) and its finder.
+_loaded: dict[tuple[str, int], Callable[[str], set[str]]] = {}
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def search(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find = _finder(dictionary.value)
-        for batch in texts:
-            yield batch.map(lambda text: list(find(text)) if text else [])
 
-    return search
+def _dictionary(path: str, number: int) -> Callable[[str], set[str]]:
+    import pyarrow.dataset as ds
 
+    if (path, number) not in _loaded:
+        _loaded.clear()
+        folder, root = file_system(path)
+        stored = ds.dataset(f"{root}/number={number}", filesystem=folder, format="parquet")
+        _loaded[path, number] = _finder(stored.to_table(columns=["term"]).column("term").to_pylist())
+    return _loaded[path, number]
 
-def _dictionary_lists(spark: SparkSession, rows: list):
-    """A column function: the lists a text matches, from the (list_id, clause, term) rows."""
-    dictionary = spark.sparkContext.broadcast([tuple(row) for row in rows])
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def search(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        clauses_with: dict[str, list[tuple[str, str]]] = {}
-        for list_id, clause, term in dictionary.value:
-            clauses_with.setdefault(term, []).append((list_id, clause))
-        size = Counter((list_id, clause) for list_id, clause, _ in dictionary.value)
-        find = _finder(clauses_with)
+def _dictionary_pass(lowered: DataFrame, terms: DataFrame, id_cols: list[str], dictionary_terms: int) -> DataFrame:
+    """The terms of all dictionaries that each text contains, in one scan of the texts.
 
-        def lists_in(text: str | None) -> list[str]:
-            found = Counter(chain.from_iterable(clauses_with[term] for term in find(text or "")))
-            return list({clause[0] for clause, n in found.items() if n == size[clause]})
-
-        for batch in texts:
-            yield batch.map(lists_in)
-
-    return search
+    The dictionaries are written to the shared folder and never pass through the driver. A
+    task holds texts up to `HELD_CHARACTERS`, goes through the dictionaries one by one and
+    hands the found terms on before it reads more.
+    """
+    path = new_path(lowered.sparkSession, "dictionaries")
+    number = F.pmod(F.xxhash64("term"), F.lit(max(1, -(-terms.count() // dictionary_terms)))).alias("number")
+    numbered = stage(terms.select(number, "term"), "terms")
+    numbers = sorted(row.number for row in numbered.select("number").distinct().toLocalIterator())
+    numbered.repartition("number").write.partitionBy("number").parquet(path)
+    schema = T.StructType([*lowered.select(*id_cols).schema.fields, T.StructField("term", T.StringType())])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def found() -> Iterator[pa.RecordBatch]:
+            texts = [text or "" for batch in held for text in batch.column("_text").to_pylist()]
+            ids = pa.Table.from_batches(held).select(id_cols)
+            for k in numbers:
+                find = _dictionary(path, k)
+                hits = [(i, term) for i, text in enumerate(texts) for term in find(text)]
+                rows = ids.take(pa.array([i for i, _ in hits], pa.int64()))
+                yield from rows.append_column("term", pa.array([term for _, term in hits], pa.string())).to_batches()
+
+        for batch in batches:
+            held.append(batch)
+            size += sum(len(text or "") for text in batch.column("_text").to_pylist())
+            if size >= HELD_CHARACTERS:
+                yield from found()
+                held, size = [], 0
+        if held:
+            yield from found()
+
+    return lowered.mapInArrow(search, schema)
 
 
 def lists_satisfied(found: DataFrame, clauses: DataFrame, id_col: str) -> DataFrame:
@@ -171,35 +182,41 @@ def lists_satisfied(found: DataFrame, clauses: DataFrame, id_col: str) -> DataFr
 
     Only ids and terms move. An id is tried for a clause only when it has the clause's
     rarest term, so terms found almost everywhere do not multiply ids by lists; what is
-    tried is then checked term by term. Every join that may meet a frequent term or a list
-    with very many matches is spread over `TERM_SPLITS` copies of the clause side.
+    tried is then checked term by term.
     """
     found = found.join(clauses.select("term").distinct(), "term", "left_semi").select(id_col, "term").distinct()
     found = stage(found, "found")  # read three times below; search the texts once
+    per_clause = _with_rarest(clauses, found)
+    tried = _tried(found, per_clause, id_col)
+    single = tried.filter(F.col("_size") == 1).select("list_id", id_col)
+    wanted = tried.filter(F.col("_size") > 1).join(clauses, ["list_id", "clause"])
+    complete = wanted.join(found, [id_col, "term"], "left_semi")
+    return single.unionByName(_complete(complete, id_col)).distinct()
+
+
+def _with_rarest(clauses: DataFrame, found: DataFrame) -> DataFrame:
+    """(list_id, clause, term, _size): the term that fewest ids have, and how many terms there are."""
     frequency = found.groupBy("term").agg(F.count(F.lit(1)).alias("_ids"))
     rarity = F.struct(F.coalesce("_ids", F.lit(0)), F.col("term").alias("term"))
-    per_clause = (
-        clauses.join(frequency, "term", "left")
-        .groupBy("list_id", "clause")
-        .agg(F.min(rarity).getField("term").alias("term"), F.count(F.lit(1)).alias("_size"))
-    )
-    tried = _spread_join(found, per_clause, ["term"], id_col).drop("term")
-    single = tried.filter(F.col("_size") == 1).select("list_id", id_col)
-    wanted = _spread_join(tried.filter(F.col("_size") > 1), clauses, ["list_id", "clause"], id_col)
-    complete = (
-        wanted.join(found, [id_col, "term"], "left_semi")
-        .groupBy("list_id", "clause", id_col, "_size")
-        .agg(F.count(F.lit(1)).alias("_found"))
-        .filter(F.col("_found") == F.col("_size"))
-        .select("list_id", id_col)
-    )
-    return single.unionByName(complete).distinct()
+    per_clause = clauses.join(frequency, "term", "left").groupBy("list_id", "clause")
+    return per_clause.agg(F.min(rarity).getField("term").alias("term"), F.count(F.lit(1)).alias("_size"))
+
+
+def _tried(found: DataFrame, per_clause: DataFrame, id_col: str) -> DataFrame:
+    """(list_id, clause, _size, id) of the ids that have a clause's rarest term.
+
+    A rarest term may still be that of very many ids: such terms are spread. Their clauses
+    are gathered in one row per term, as the spreading join needs.
+    """
+    per_term = per_clause.groupBy("term").agg(F.collect_list(F.struct("list_id", "clause", "_size")).alias("_clauses"))
+    joined = skew_join(found, per_term, ["term"], "inner", [id_col], key_counts(found, ["term"]))
+    return joined.select(id_col, F.inline("_clauses"))
 
 
-def _spread_join(rows: DataFrame, table: DataFrame, keys: list[str], id_col: str) -> DataFrame:
-    salt = F.pmod(F.xxhash64(id_col), F.lit(TERM_SPLITS)).cast("int")
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(TERM_SPLITS - 1))))
-    return rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"]).drop("_salt")
+def _complete(wanted: DataFrame, id_col: str) -> DataFrame:
+    """(list_id, id) of the clauses that have as many different terms as they need."""
+    counted = wanted.groupBy("list_id", "clause", id_col, "_size").agg(F.count(F.lit(1)).alias("_found"))
+    return counted.filter(F.col("_found") == F.col("_size")).select("list_id", id_col)
 
 
 def attachment_matches(
@@ -211,20 +228,26 @@ def attachment_matches(
     be in different parts.
     """
     parts = notice_texts.select(id_col, text_col).unionByName(attachments.select(id_col, text_col))
-    found = found_terms(parts, clauses.select("term"), [id_col], text_col)
-    inline = _rows_up_to(clauses, LITERAL_TERMS)
-    if inline is None:
-        return lists_satisfied(found, clauses, id_col)
-    # at most LITERAL_TERMS different terms, combined in the map tasks: any number of parts is fine
-    per_id = found.groupBy(id_col).agg(F.collect_set("term").alias("_found"))
-    matched = _matched_lists(inline, lambda term: F.array_contains("_found", F.lit(term)))
-    return per_id.select(F.explode(matched).alias("list_id"), id_col)
+    return keyword_matches(parts, clauses, id_col, text_col)
 
 
 def token_matches(texts: DataFrame, clauses: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """Distinct (list_id, id) by whole tokens in place of containment: for very many terms.
 
-    A term that is no single token matches nothing.
+    A term that is no single token matches nothing. The texts are read three times: to
+    count the texts of each term, to find the ids that have some clause's rarest term, and,
+    for these ids alone, to look for the other terms. No found term but the rarest ones moves.
     """
     tokens = F.array_distinct(F.split(F.lower(text_col), TOKEN_BREAK))
-    return lists_satisfied(texts.select(id_col, F.explode(tokens).alias("term")), clauses, id_col)
+    by_text = texts.select(id_col, tokens.alias("_tokens"))
+    found = by_text.select(id_col, F.explode("_tokens").alias("term"))
+    per_clause = stage(_with_rarest(clauses, found.join(clauses.select("term").distinct(), "term", "left_semi")), "rarest")
+    rare = found.join(per_clause.select("term").distinct(), "term", "left_semi").distinct()
+    tried = stage(_tried(stage(rare, "rare"), per_clause, id_col), "tried")
+    single = tried.filter(F.col("_size") == 1).select("list_id", id_col)
+    wanted = tried.filter(F.col("_size") > 1).select("list_id", "clause", "_size", id_col).distinct()
+    terms = clauses.groupBy("list_id", "clause").agg(F.collect_set("term").alias("_terms"))
+    near = by_text.join(wanted.select(id_col).distinct(), id_col, "left_semi")
+    met = near.join(wanted.join(terms, ["list_id", "clause"]), id_col)
+    met = met.select("list_id", "clause", "_size", id_col, F.explode(F.array_intersect("_tokens", "_terms")).alias("term"))
+    return single.unionByName(_complete(met.distinct(), id_col)).distinct()

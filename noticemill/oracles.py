@@ -40,9 +40,55 @@ select distinct n.notice_num, 'https://t.example/n/' || n.notice_num as href, co
  from notices n left join ({DETAIL}) d on d.href = 'https://t.example/n/' || n.notice_num where n.law = '223'"""
 LINE_223 = "case when noticeinfoid = '' then notice_num else notice_num || ';' || noticeinfoid || ';' || pfid end"
 UNKNOWN = "not exists (select 1 from registry r where r.notificationnumber = n.notice_num and r.law = n.law)"
+ITEM_WORDS = r"""
+select distinct 'item_' || cast(item_id as varchar) as list_id, lower(w) as term from (
+ select item_id, unnest(regexp_split_to_array(text, '[^\p{L}\p{N}]+')) as w from benchmark) where length(w) >= 7"""
 ATTACHED = f"""
 select p.doc_id, k.list_id, k.term from (select doc_id, text from documents union all select conv_id, text from conversations) p
  join ({KW}) k on contains(lower(p.text), k.term)"""
+IN_WINDOW = "n.published_on between date '2001-08-01' - 2000 and date '2001-08-01'"
+# the keyword and code runs: list, notice
+KW_HITS = f"""
+select k.list_id, n.notice_id, n.law, n.notice_num from notices n
+ join documents d on d.doc_id = n.notice_id join ({KW}) k on contains(lower(d.text), k.term)
+ where {VALID} and {UNKNOWN} and {IN_WINDOW}"""
+CODE_HITS = f"""
+select c.list_id, n.notice_id, n.law, n.notice_num from notices n
+ join items i on i.item_id = n.notice_id join ({SEARCH_CODES}) c on {LEADS_TO} where {VALID} and {UNKNOWN}"""
+
+
+ATTACHED_HITS = f"""
+select distinct n.notice_id, n.notice_num, a.list_id, a.term from notices n join ({ATTACHED}) a on a.doc_id = n.notice_id
+ where n.law = '44' and {VALID} and {UNKNOWN} and {IN_WINDOW}"""
+
+
+def lines_of(hits: str, law: str) -> str:
+    if law == "44":
+        return f"select list_id, notice_num as line from ({hits}) h where h.law = '44'"
+    return f"""select list_id, {LINE_223} as line from ({hits}) h join ({ENRICHED}) e using (notice_num) where h.law = '223'"""
+
+
+# cards up to the first missing page, distinct (list, number, link)
+PAGE_PAIRS = f"""
+select distinct cast(search_id as varchar) as list_id, {CARD_NUMBER} as notice_num, href from search_cards s
+ where page_num = (select count(distinct p.page_num) from search_cards p
+  where p.search_id = s.search_id and p.page_num <= s.page_num)"""
+
+
+def page_run(law: str) -> str:
+    shape = "length({0}) = 19" if law == "44" else "length({0}) = 11 and {0}[1] = '3'"
+    found = "coalesce(d.infoid, '') <> ''" if law == "223" else "false"
+    return f"""
+    select distinct p.list_id, 'line' as kind,
+     case when {found} then p.notice_num || ';' || d.infoid || ';' || d.pf else p.notice_num end as line
+     from ({PAGE_PAIRS}) p left join ({DETAIL}) d on d.href = p.href
+     where {shape.format("p.notice_num")} and not exists (
+      select 1 from registry r where r.notificationnumber = p.notice_num and r.law = '{law}')
+    union all select list_id, 'reject', concat_ws(' ', case when notice_num is null then 'no_number'
+     when '{law}' = '223' and length(notice_num) = 11 then 'bad_prefix' else 'bad_length' end, notice_num, href)
+     from ({PAGE_PAIRS}) where notice_num is null or not ({shape.format("notice_num")})"""
+
+
 TERM_LINES = f"select list_id, pos, {STRIPPED} as term from raw_lines where {STRIPPED} <> ''"
 
 # key: (SELECT, fixtures it reads)
@@ -54,8 +100,10 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "read_terms": (TERM_LINES, ("raw_lines",)),
     "scan_result_cards": ("select search_id, page_num, card_pos, label, href from search_cards", ("search_cards",)),
     "extract_links": (
+        # cut at the anchors; the pages have no other quotes, no entities in links and no anchors in comments
         """select page_id, cast(generate_subscripts(l, 1) - 1 as int) as link_pos, unnest(l) as href
-        from (select page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) as l from pages)""",
+        from (select page_id, [split_part(split_part(split_part(a, '>', 1), 'href="', 2), '"', 1)
+          for a in string_split(html, '<a ')[2:] if contains(split_part(a, '>', 1), 'href="')] as l from pages)""",
         (),
     ),
     "scan_registry": ("select id_notification, notificationnumber, law from registry where law = '44'", ("registry",)),
@@ -127,6 +175,19 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {
         having count(distinct a.term) = (select count(distinct k.term) from ({KW}) k where k.list_id = a.list_id)""",
         ("lists",),
     ),
+    "kw_dictionary": (
+        f"select distinct k.list_id, d.doc_id from documents d join ({ITEM_WORDS}) k on contains(lower(d.text), k.term)",
+        (),
+    ),
+    "kw_slices": (
+        f"""select f.list_id, f.doc_id from (
+          select distinct p.doc_id, k.list_id, k.term
+          from (select doc_id, text from documents union all select conv_id, text from conversations) p
+          join ({ITEM_WORDS}) k on contains(lower(p.text), k.term)) f
+        join (select list_id, count(*) as n from ({ITEM_WORDS}) group by list_id) s on s.list_id = f.list_id
+        group by f.list_id, f.doc_id, s.n having count(*) = s.n""",
+        (),
+    ),
     "kw_tokens": (
         rf"""select w.list_id, d.doc_id
         from (select distinct doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+')) as token from documents) d
@@ -144,6 +205,10 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {
         f"select list_id, code from ({MANY_CODES}) w where not exists (select 1 from code_tree t where t.code = w.code)",
         ("code_lists", "code_tree"),
     ),
+    "code_unmatched": (
+        f"""select list_id, code from ({MANY_CODES}) w where not exists (select 1 from code_tree t where contains(t.code, w.code))""",
+        ("code_lists", "code_tree"),
+    ),
     "code_subtree": (
         f"select distinct c.list_id, i.item_id from items i join ({CODES}) c on {LEADS_TO}",
         ("code_lists", "items"),
@@ -235,6 +300,27 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {
         and n.published_on between date '2001-08-01' - 2000 and date '2001-08-01'""",
         ("lists", "notices", "registry"),
     ),
+    "run_kw_44_attachments": (
+        f"""select distinct 'any' as policy, 'kw' as source, list_id, notice_num as line from ({ATTACHED_HITS})
+        union all select distinct 'all', 'kw', m.list_id, m.notice_num from ({ATTACHED_HITS}) m group by m.list_id, m.notice_num, m.notice_id
+         having count(*) = (select count(distinct k.term) from ({KW}) k where k.list_id = m.list_id)""",
+        ("lists", "notices", "registry"),
+    ),
+    "run_kw_223": (
+        f"select distinct 'kw' as source, list_id, line from ({lines_of(KW_HITS, '223')})",
+        ("lists", "notices", "registry", "detail_pages"),
+    ),
+    "run_okpd_223": (
+        f"select distinct 'okpd' as source, list_id, line from ({lines_of(CODE_HITS, '223')})",
+        ("code_lists", "items", "code_tree", "notices", "registry", "detail_pages"),
+    ),
+    "run_all": (
+        f"""select distinct 'kw' as source, list_id, line from ({lines_of(KW_HITS, '44')} union all {lines_of(KW_HITS, '223')})
+        union all select distinct 'okpd', list_id, line from ({lines_of(CODE_HITS, '44')} union all {lines_of(CODE_HITS, '223')})""",
+        ("lists", "code_lists", "items", "code_tree", "notices", "registry", "detail_pages"),
+    ),
+    "run_pages_44": (page_run("44"), ("search_cards", "registry", "detail_pages")),
+    "run_pages_223": (page_run("223"), ("search_cards", "registry", "detail_pages")),
     "run_223": (
         f"""select distinct {LINE_223} as line from ({ENRICHED}) n
         where length(notice_num) = 11 and notice_num like '3%'

@@ -57,3 +57,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def file_system(path: str):
+    """File system and path in it, for tasks that read or write files of the shared folder themselves."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)

@@ -22,11 +22,10 @@ CARD_TYPE = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.
 # Tags that have no end tag and so do not nest.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
-# Comments, scripts and styles are passed over; group 2 is `/` of an end tag, 3 the name, 4 the attributes.
-_TAG = re.compile(
-    r"""<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
-    re.IGNORECASE | re.DOTALL,
-)
+# Group 1 is `/` of an end tag, 2 the name, 3 the attributes. Outside quotes `<` ends a tag,
+# and no group gives back what it has read, so an unclosed quote costs one look ahead.
+_TAG = re.compile(r"""<(/?)([a-z][^\s/<>]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>""", re.IGNORECASE)
+_END_OF = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in ("script", "style")}
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
 
@@ -37,6 +36,35 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
+def _tags(html: str) -> Iterator[tuple[int, int, re.Match]]:
+    """(start, end, match) of the tags in one forward scan; comments, scripts and styles are passed over.
+
+    What is left open reaches to the end of the page.
+    """
+    at = html.find("<")
+    while at >= 0:
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            if end < 0:
+                return
+            yield at, end + 3, None
+            at = html.find("<", end + 3)
+            continue
+        match = _TAG.match(html, at)
+        if match is None:
+            at = html.find("<", at + 1)
+            continue
+        end = match.end()
+        name = match[2].lower()
+        if name in _END_OF and not match[1]:
+            closed = _END_OF[name].search(html, end)
+            end = closed.end() if closed else len(html)
+            yield at, end, None
+        else:
+            yield at, end, match
+        at = html.find("<", end)
+
+
 def parse_cards(html: str | None) -> list[dict[str, str | None]]:
     """(label, href) of the first anchor in the about block of each card."""
     html = html or ""
@@ -60,20 +88,20 @@ def parse_cards(html: str | None) -> list[dict[str, str | None]]:
             if name == tag:
                 return
 
-    for match in _TAG.finditer(html):
+    for start, after, match in _tags(html):
         if label is not None:
-            label.append(html[end : match.start()])
-        end = match.end()
-        tag = (match[3] or "").lower()
+            label.append(html[end:start])
+        end = after
+        tag = match[2].lower() if match else ""
         if not tag or tag in VOID_TAGS:
             continue
-        if match[2]:
+        if match[1]:
             if any(name == tag for name, _ in reversed(stack)):
                 pop_to(tag)
             continue
         role = ""
         if tag == "div":
-            attributes = _attributes(match[4])
+            attributes = _attributes(match[3])
             classes = attributes.get("class", "").split()
             if inside["card"] and ABOUT_CLASS in classes:
                 role = "about"
@@ -84,11 +112,11 @@ def parse_cards(html: str | None) -> list[dict[str, str | None]]:
                 role = "content"
         elif tag == "a" and inside["about"] and label is None and cards[-1]["label"] is None:
             role, linked, label = "link", cards[-1], []
-            linked["href"] = _attributes(match[4]).get("href")
+            linked["href"] = _attributes(match[3]).get("href")
         if role in inside:
             inside[role] += 1
         stack.append((tag, role))
-        if match[4].endswith("/"):
+        if match[3].endswith("/"):
             pop_to(tag)
     if label is not None:
         label.append(html[end:])

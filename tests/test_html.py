@@ -1,5 +1,7 @@
+import time
 from html.parser import HTMLParser
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -136,7 +138,39 @@ def test_scan_keeps_page_keys(spark):
     assert rows(scan_result_cards(pages)) == [(1, 1, 0, "№1", "/n/1"), (1, 1, 1, "№2", "/n/2")]
 
 
+LINKS = {
+    '<a href="/1">x</a><A HREF="/yes">y</A><a class="k" href="">z</a><link href="/css"><a name="n">w</a>': ["/1", "/yes", ""],
+    "<a href='/single'>": ["/single"],
+    "<a href=/bare class=x><a href=/end>": ["/bare", "/end"],
+    '<a\n\thref = "/break">': ["/break"],
+    '<a data-href="/no" title=" href=/no" href="/own" href="/second">': ["/own"],
+    '<!-- <a href="/comment"> --><script>"<a href=/script>"</script><style>a{}</style><a href="/after">': ["/after"],
+    '<a href="/n?a=1&amp;b=&quot;2&#34;&#x41;&amp;lt;&#1071;">': ['/n?a=1&b="2"A&lt;\u042f'],
+    "<a title='1>0' href='a<b'><abbr href=/no></a href=/no>": ["a<b"],
+    '<!-- open <a href="/no">': [],
+    '<a href="/unclosed': [],
+}
+
+
 def test_links_of_a_page(spark):
-    html = '<a href="/1">x</a><A HREF="/no">y</A><a class="k" href="">z</a><link href="/css"><a name="n">w</a>'
-    pages = spark.createDataFrame([(1, html), (2, "none"), (3, None)], "page_id int, html string")
-    assert rows(extract_links(pages)) == [(1, 0, "/1"), (1, 1, "")]
+    pages = spark.createDataFrame([*enumerate(LINKS), (98, "none"), (99, None)], "page_id int, html string")
+    expected = [(i, k, href) for i, hrefs in enumerate(LINKS.values()) for k, href in enumerate(hrefs)]
+    assert rows(extract_links(pages)) == sorted(expected, key=repr)
+
+
+OPEN = ["<!-- <a ", "<script><a ", "<style>", '<a "', "<a '", "<div class=\"", "<a href=", "<", "<a <b ", "<a x=\"'", '<a "x">']
+
+
+@pytest.mark.parametrize("piece", OPEN)
+def test_unclosed_markup_takes_linear_time(spark, piece):
+    def seconds(html):
+        start = time.perf_counter()
+        parse_cards(html)
+        return time.perf_counter() - start
+
+    html = '<div id="content">' + piece * (800_000 // len(piece))
+    assert min(seconds(html) for _ in range(2)) < 3
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    start = time.perf_counter()
+    extract_links(pages).count()
+    assert time.perf_counter() - start < 10

@@ -13,6 +13,7 @@ from noticemill.operators.keywords import (
     lists_satisfied,
     token_matches,
 )
+from noticemill.session import stage
 from tests.conftest import plan_of, rows
 
 LISTS = {"any_a": ["Сосна", "ёлки"], "b": ["лекарство"], "c": ["a b", "c"], "d": ["zzz", "сосна"]}
@@ -41,15 +42,14 @@ def brute_force(texts, lists, policy):
     )
 
 
-@pytest.fixture(params=["predicates", "dictionary", "slices", "no dictionary library"])
+@pytest.fixture(params=["predicates", "dictionary", "slices"])
 def tier(request, monkeypatch):
     """Each way to search, forced by its limit."""
     if request.param != "predicates":
         monkeypatch.setattr(keywords, "LITERAL_TERMS", 0)
     if request.param == "slices":
-        monkeypatch.setattr(keywords, "DICTIONARY_TERMS", 2)
-    if request.param == "no dictionary library":
-        monkeypatch.setattr(keywords, "ahocorasick", None)
+        for search in (keywords.keyword_matches, keywords.found_terms):
+            monkeypatch.setattr(search, "__defaults__", tuple(2 if d == keywords.DICTIONARY_TERMS else d for d in search.__defaults__))
     return request.param
 
 
@@ -133,9 +133,22 @@ def test_frequent_term_is_not_multiplied_by_lists(spark):
     assert rows(got) == sorted(((f"l{i}", i) for i in range(50)), key=repr)
 
 
-def test_text_is_neither_shuffled_nor_joined(spark, tier):
+@pytest.mark.parametrize("policy, expected", [("any", [("l", 1), ("l", 2)]), ("all", [("l", 1), ("l", 2)])])
+def test_texts_of_an_id_count_together(spark, tier, policy, expected):
+    texts = spark.createDataFrame([(1, "aaa"), (1, "bbb"), (2, "aaa bbb"), (2, "aaa bbb"), (3, None)], "doc_id bigint, text string")
+    lists = lists_df(spark, {"l": ["aaa", "bbb"]})
+    assert rows(keyword_matches(texts, clauses_of(lists, policy), "doc_id")) == expected
+    assert rows(token_matches(texts, clauses_of(lists, policy), "doc_id")) == expected
+
+
+def test_texts_are_scanned_once_and_not_shuffled(spark, tier):
+    texts = stage(texts_df(spark, TEXTS), "texts")
+    terms = found_terms(texts, lists_df(spark, LISTS), ["doc_id"])
+    plan = plan_of(terms)
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+
+
+def test_held_texts_are_searched_in_portions(spark, tier, monkeypatch):
+    monkeypatch.setattr(keywords, "HELD_CHARACTERS", 5)
     got = keyword_matches(texts_df(spark, TEXTS), clauses_of(lists_df(spark, LISTS), "any"), "doc_id")
-    if tier != "slices":
-        assert "Exchange" not in plan_of(got) and "Join" not in plan_of(got)
-    terms = found_terms(texts_df(spark, TEXTS), lists_df(spark, LISTS), ["doc_id"])
-    assert "Exchange" not in plan_of(terms)
+    assert rows(got) == brute_force(TEXTS, LISTS, "any")

@@ -1,16 +1,18 @@
+import os
+import random
 import time
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from noticemill.plans import search
-from noticemill.plans.search import run_codes, run_keywords, run_notices_223, texts_of
+from noticemill.plans.search import of_wanted, run_all, run_codes, run_keywords, run_notices_223, run_pages, write_by_id
 from noticemill.session import new_path, shared_dir, stage
 from noticemill.sources.lines import compact_lines, read_lines, write_lines
-from noticemill.streaming.intake import stream_lists
+from noticemill.streaming.intake import overlooked_files, stream_lists
 from noticemill.streaming.notices import stream_new_notices
 from tests.conftest import plan_of, rows
+from tests.test_registry import exchanges_below_joins
 
 NUM_44 = [str(i).zfill(19) for i in range(10)]
 NUM_223 = ["3" + str(i).zfill(10) for i in range(10)]
@@ -72,13 +74,59 @@ def test_keyword_run_223(world):
         run_keywords(world["notices"], world["registry"], world["texts"], world["lists"], "223", "all")
 
 
-def test_all_texts_are_searched_when_ids_are_too_many_to_broadcast(world, monkeypatch):
-    args = (world["notices"], world["registry"], world["texts"], world["lists"], "44", "all", AS_OF, 9)
-    few = rows(run_keywords(*args))
-    monkeypatch.setattr(search, "BROADCAST_IDS", 2)
-    assert rows(run_keywords(*args)) == few
-    wanted = stage(world["notices"], "all")
-    assert "Join" not in plan_of(texts_of(world["texts"], wanted, "doc_id"))
+def test_texts_bucketed_by_id_are_not_shuffled(spark, world, plain_joins):
+    write_by_id(world["texts"], "texts_by_id", "doc_id", 4)
+    wanted = stage(world["notices"].filter("notice_id < 3"), "few")
+    cut = of_wanted(spark.table("texts_by_id"), wanted, "doc_id")
+    assert cut.count() == 3
+    assert "Bucketed: true" in plan_of(cut)
+    assert exchanges_below_joins(plan_of(cut), "texts_by_id") == 0
+
+
+def test_attachments_are_searched(spark, world):
+    attached = spark.createDataFrame([(7, "ЕЛКИ"), (7, "елки"), (9, None), (9, ""), (500, "елки")], "doc_id bigint, text string")
+    args = (world["notices"], world["registry"], world["texts"], world["lists"], "44")
+    got = run_keywords(*args, "all", AS_OF, 9, attachments=attached)
+    assert [r[1:] for r in rows(got)] == [(name, NUM_44[i]) for name in "lm" for i in (1, 3, 5, 7)]
+
+
+def test_items_are_cut_before_they_are_searched(spark, world, plain_joins):
+    items = stage(spark.range(50).select(F.col("id").alias("item_id"), F.lit("10.1").alias("code")), "items")
+    wanted = stage(world["notices"].filter("notice_id = 3"), "one")
+    assert of_wanted(items, wanted, "item_id").count() == 1
+
+
+def test_a_run_is_for_one_law(world):
+    for law in (None, "45"):
+        with pytest.raises(ValueError):
+            run_keywords(world["notices"], world["registry"], world["texts"], world["lists"], law)
+        with pytest.raises(ValueError):
+            run_codes(world["notices"], world["registry"], None, None, None, law)
+        with pytest.raises(ValueError):
+            run_pages(world["notices"], world["registry"], law)
+
+
+def test_run_over_result_pages(spark, world):
+    def card(label, href):
+        return f'<div class="card-item"><div class="card-item__about"><a href="{href}">{label}</a></div></div>'
+
+    def page(*cards):
+        return '<div id="content">' + "".join(card(label, href) for label, href in cards) + "</div>"
+
+    pages = [
+        (1, 1, page((f"№{NUM_44[1]}", "/a"), (f"№ {NUM_44[1]}", "/a"), (f"№{NUM_44[2]}", "/b"), ("no number", "/c"))),
+        (1, 2, page((f"№{NUM_44[3]}", "/d"), ("№12", "/e"))),
+        (1, 4, page((f"№{NUM_44[5]}", "/after a gap"))),
+        (2, 1, page((f"№{NUM_44[1]}", "/a"))),
+    ]
+    found, rejects = run_pages(spark.createDataFrame(pages, "search_id int, page_num int, html string"), world["registry"], "44")
+    assert rows(found) == [("1", NUM_44[1]), ("1", NUM_44[3]), ("2", NUM_44[1])]
+    assert rows(rejects) == [("1", "12", "/e", "bad_length"), ("1", None, "/c", "no_number")]
+
+
+def test_runs_are_put_together(spark):
+    one = spark.createDataFrame([("kw", "a", "1"), ("kw", "a", "2")], "source string, list_id string, line string")
+    assert rows(run_all([one, one], [one])) == [("kw", "a", "1"), ("kw", "a", "2"), ("okpd", "a", "1"), ("okpd", "a", "2")]
 
 
 def test_code_run(spark, world):
@@ -167,3 +215,37 @@ def test_new_notices_are_reported_once(spark, tmp_path):
     registry.append((2, NUM_44[2], "44"))
     second = land(("44", NUM_44[1], 3), ("44", NUM_44[2], 3), ("44", NUM_44[3], 3), ("223", None, 3))
     assert second == sorted([*first, ("44", NUM_44[3])])
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 1000])
+def test_files_in_any_order_give_the_notices_of_their_union(spark, tmp_path, files_per_batch):
+    landed, out, state = str(tmp_path / "landed"), str(tmp_path / "out"), str(tmp_path / "state")
+    schema = "law string, notice_num string, published_ts timestamp"
+    rng = random.Random(files_per_batch)
+    files = [[("44", NUM_44[rng.randrange(10)], datetime(1999 + rng.randrange(4), 1, 1 + i)) for _ in range(4)] for i in range(7)]
+    for file in files:
+        spark.createDataFrame(file, schema).coalesce(1).write.mode("append").parquet(landed)
+    registry = [(1, NUM_44[0], "44"), (2, NUM_44[4], "44")]
+    known = lambda: spark.createDataFrame(registry, "id_notification bigint, notificationnumber string, law string")
+    stream_new_notices(spark, landed, schema, known, out, state, window_days=1, files_per_batch=files_per_batch).awaitTermination()
+    got = rows(spark.read.parquet(out).select("law", "notice_num"))
+    assert got == sorted({(law, num) for file in files for law, num, _ in file} - {("44", NUM_44[0]), ("44", NUM_44[4])})
+
+
+def test_old_list_files_are_read(spark, tmp_path):
+    drop, out = tmp_path / "drop", str(tmp_path / "out")
+    drop.mkdir()
+    (drop / "new.txt").write_bytes(b"new")
+    (drop / "old.txt").write_bytes(b"old")
+    ten_days_ago = time.time() - 10 * 86400
+    os.utime(drop / "old.txt", (ten_days_ago, ten_days_ago))
+    stream_lists(spark, str(drop), str(tmp_path / "archive"), out, str(tmp_path / "state"), files_per_batch=1).awaitTermination()
+    assert rows(spark.read.parquet(out).select("list_id")) == [("new.txt",), ("old.txt",)]
+
+
+def test_overlooked_files_are_listed(spark, tmp_path):
+    for name, days in (("new.txt", 0), ("old.txt", 10)):
+        (tmp_path / name).write_bytes(b"x")
+        os.utime(tmp_path / name, (time.time() - days * 86400,) * 2)
+    named = lambda age: [r.path.rsplit("/", 1)[1] for r in overlooked_files(spark, str(tmp_path), age).collect()]
+    assert named("7d") == ["old.txt"] and named("30d") == []

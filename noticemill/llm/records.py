@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from noticemill.session import file_system
+
 HEAD = struct.Struct("<BqB")
 FRAME = struct.Struct("<QI")
 CHECK = struct.Struct("<I")
@@ -71,15 +73,6 @@ def unframed(stream) -> tuple[int | None, int, bytes] | None:
     return None if null else doc_id, width, payload[HEAD.size :]
 
 
-def file_system(path: str):
-    """File system and path in it, for a plain path or any address that Arrow can open."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        path = "/" + path.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(path)
-
-
 def write_records(docs: DataFrame, path: str, tokenizer: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Encode `text` of each row and write the records in ascending doc_id order.
 

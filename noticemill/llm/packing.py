@@ -17,7 +17,6 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 

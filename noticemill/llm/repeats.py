@@ -25,9 +25,11 @@ from noticemill.llm.blocks import LAST
 from noticemill.llm.common import written
 from noticemill.llm.hashing import WordHashes, leftmost_minima, sequence_hashes
 
+# Occurrences of an anchor beyond which its windows go to shards one by one.
 HOT = 4096
 # Characters of segments in one shard, on average.
 SHARD_BYTES = 400_000
+
 Place = tuple[int, int, int]  # doc_id (LAST for null), row number, word
 Run = tuple[int, int, int, int]  # windows, and the place of the first; the others follow word by word
 # Words, place of the anchor and first place of each segment, and the words of a window.

@@ -55,7 +55,8 @@ def code_suggestions(unresolved: DataFrame, tree: DataFrame) -> DataFrame:
     """(list_id, code, suggestion): the smallest tree code that contains an unresolved code.
 
     Each tree code names its parts of the lengths asked for, so `contains` becomes an
-    equality join too. Codes that no tree code contains are left out.
+    equality join too. The smallest one is found per code, however many lists ask for it.
+    Codes that no tree code contains are left out.
     """
     node = F.col("code")
     with_lengths = tree.select("code", _lengths(unresolved).alias("_lengths"))
@@ -66,7 +67,9 @@ def code_suggestions(unresolved: DataFrame, tree: DataFrame) -> DataFrame:
         )
     )
     candidates = with_lengths.select(node.alias("suggestion"), F.explode(F.array_distinct(parts)).alias("code"))
-    return candidates.join(unresolved, "code").groupBy("list_id", "code").agg(F.min("suggestion").alias("suggestion"))
+    asked = candidates.join(unresolved.select("code").distinct(), "code", "left_semi")
+    smallest = asked.groupBy("code").agg(F.min("suggestion").alias("suggestion"))
+    return unresolved.select("list_id", "code").distinct().join(smallest, "code").select("list_id", "code", "suggestion")
 
 
 def selected_codes(codes: DataFrame, tree: DataFrame) -> DataFrame:

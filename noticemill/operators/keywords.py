@@ -185,11 +185,11 @@ def lists_satisfied(found: DataFrame, clauses: DataFrame, id_col: str) -> DataFr
     tried is then checked term by term.
     """
     found = found.join(clauses.select("term").distinct(), "term", "left_semi").select(id_col, "term").distinct()
-    found = stage(found, "found")  # read three times below; search the texts once
+    found = stage(found, "found")  # read more than once below; search the texts once
     per_clause = _with_rarest(clauses, found)
-    tried = _tried(found, per_clause, id_col)
+    tried = stage(_tried(found, per_clause, id_col), "tried")
     single = tried.filter(F.col("_size") == 1).select("list_id", id_col)
-    wanted = tried.filter(F.col("_size") > 1).join(clauses, ["list_id", "clause"])
+    wanted = _with_terms(tried, clauses, id_col).withColumn("term", F.explode("_terms")).drop("_terms")
     complete = wanted.join(found, [id_col, "term"], "left_semi")
     return single.unionByName(_complete(complete, id_col)).distinct()
 
@@ -213,6 +213,16 @@ def _tried(found: DataFrame, per_clause: DataFrame, id_col: str) -> DataFrame:
     return joined.select(id_col, F.inline("_clauses"))
 
 
+def _with_terms(tried: DataFrame, clauses: DataFrame, id_col: str) -> DataFrame:
+    """The tried ids of clauses with more than one term, each with the clause's terms as `_terms`.
+
+    A list may be tried for very many ids, so these are spread.
+    """
+    terms = clauses.groupBy("list_id", "clause").agg(F.collect_set("term").alias("_terms"))
+    wanted = tried.filter(F.col("_size") > 1).select("list_id", "clause", "_size", id_col).distinct()
+    return skew_join(wanted, terms, ["list_id", "clause"], "inner", [id_col])
+
+
 def _complete(wanted: DataFrame, id_col: str) -> DataFrame:
     """(list_id, id) of the clauses that have as many different terms as they need."""
     counted = wanted.groupBy("list_id", "clause", id_col, "_size").agg(F.count(F.lit(1)).alias("_found"))
@@ -245,9 +255,8 @@ def token_matches(texts: DataFrame, clauses: DataFrame, id_col: str, text_col: s
     rare = found.join(per_clause.select("term").distinct(), "term", "left_semi").distinct()
     tried = stage(_tried(stage(rare, "rare"), per_clause, id_col), "tried")
     single = tried.filter(F.col("_size") == 1).select("list_id", id_col)
-    wanted = tried.filter(F.col("_size") > 1).select("list_id", "clause", "_size", id_col).distinct()
-    terms = clauses.groupBy("list_id", "clause").agg(F.collect_set("term").alias("_terms"))
+    wanted = _with_terms(tried, clauses, id_col)
     near = by_text.join(wanted.select(id_col).distinct(), id_col, "left_semi")
-    met = near.join(wanted.join(terms, ["list_id", "clause"]), id_col)
+    met = near.join(wanted, id_col)
     met = met.select("list_id", "clause", "_size", id_col, F.explode(F.array_intersect("_tokens", "_terms")).alias("term"))
     return single.unionByName(_complete(met.distinct(), id_col)).distinct()

@@ -9,28 +9,23 @@ from noticemill.llm.common import written
 from noticemill.operators.skew import skew_join
 
 
-def _with_least(rows: DataFrame) -> DataFrame:
-    """Rows (u, v) with `m`, the smallest v of their u.
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node is hung on the smallest node near it.
 
-    A node may have a third of all edges, so its rows are spread over all tasks.
+    A node may have a third of all edges as their smaller end, so its rows are spread.
     """
-    least = written(rows.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_rows")), "least")
-    return skew_join(rows, least.select("u", "m"), ["u"], "inner", ["v"], least.select("u", "_rows"))
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is hung on the smallest node near it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    near = _with_least(both).filter("v > u")
-    return near.select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+    least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_rows")), "least")
+    near = skew_join(both, least.select("u", "m"), ["u"], "inner", ["v"], least.select("u", "_rows"))
+    return near.filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are hung on the smallest of them."""
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
-    near = _with_least(down)
-    hung = near.select(F.explode(F.array(F.struct(F.col("v").alias("u"), "m"), F.struct("u", "m"))).alias("e"))
-    return hung.select("e.u", F.col("e.m").alias("v")).filter("u <> v").distinct()
+    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    hung = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -48,8 +43,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.select("u", "v").filter("u <> v").distinct(), "edges")
     before = _state(edges)
     while before[0]:
-        hung = written(_large_star(edges), "edges")
-        edges = written(_small_star(hung), "edges")
+        edges = written(_small_star(_large_star(edges)), "edges")
         now = _state(edges)
         if now == before:
             break

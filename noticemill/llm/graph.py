@@ -9,13 +9,18 @@ from noticemill.llm.common import written
 from noticemill.operators.skew import skew_join
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+# Edges in one written part: small tables go into few files.
+PART_EDGES = 250_000
+
+
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
     """Every larger neighbour of a node is hung on the smallest node near it.
 
     A node may have a third of all edges as their smaller end, so its rows are spread.
     """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_rows")), "least")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_rows"))
+    least = written(least.coalesce(parts), "least")
     near = skew_join(both, least.select("u", "m"), ["u"], "inner", ["v"], least.select("u", "_rows"))
     return near.filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
 
@@ -43,7 +48,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.select("u", "v").filter("u <> v").distinct(), "edges")
     before = _state(edges)
     while before[0]:
-        edges = written(_small_star(_large_star(edges)), "edges")
+        # a round leaves no more edges than there were
+        parts = 1 + before[0] // PART_EDGES
+        edges = written(_small_star(_large_star(edges, parts)).coalesce(parts), "edges")
         now = _state(edges)
         if now == before:
             break

@@ -1,7 +1,7 @@
 """Licence scan by a positional index of rare words.
 
 The notices in `TEMPLATES` are indexed by their rarest words and where these stand. Each
-file looks up its highest-IDF licence words; every shared word votes for the offset at
+file looks up all of its words that are indexed; every shared word votes for the offset at
 which the notice would begin, and the votes of one offset add up to the share of the
 notice's weight found there. A notice counts if that share is high enough and one of its
 mandatory key phrases is in the file. IDF comes from all documents.
@@ -60,8 +60,6 @@ BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general publi
 
 # Rarest words of a template that are indexed, with their places.
 INDEXED = 8
-# Highest-IDF licence words that a file looks up.
-LOOKED_UP = 16
 # Share of a template's weight that must stand at one offset.
 ENOUGH = 0.6
 
@@ -99,21 +97,18 @@ def rare_index(weights: dict[str, float], templates: dict = TEMPLATES) -> tuple[
 
 
 def _alignments(words: str, postings: dict[str, list]) -> Column:
-    """Votes (template, offset, weight) of a file's highest-IDF licence words, in order."""
+    """Votes (template, offset, weight) of all indexed words of a file, in order."""
     schema = "map<string, array<struct<t: int, p: int, w: double>>>"
     index = F.from_json(
         F.lit(json.dumps({w: [{"t": t, "p": p, "w": x} for t, p, x in rows] for w, rows in postings.items()})), schema
     )
-    by_weight = [w for w, _ in sorted(postings.items(), key=lambda kv: (-kv[1][0][2], kv[0]))]
-    # array_intersect keeps the order of its first side
-    top = F.slice(F.array_intersect(F.array(*map(F.lit, by_weight)), F.col(words)), 1, LOOKED_UP)
     placed = F.filter(
-        F.transform(F.col(words), lambda w, i: F.when(w.isin(by_weight), F.struct(w.alias("w"), i.alias("i")))),
+        F.transform(F.col(words), lambda w, i: F.when(w.isin(sorted(postings)), F.struct(w.alias("w"), i.alias("i")))),
         lambda s: s.isNotNull(),
     )
     votes = F.flatten(
         F.transform(
-            F.filter(placed, lambda s: F.array_contains(top, s["w"])),
+            placed,
             lambda s: F.transform(
                 F.element_at(index, s["w"]),
                 lambda x: F.struct(x["t"].alias("t"), (s["i"] - x["p"]).alias("d"), x["p"].alias("p"), x["w"].alias("w")),

@@ -127,6 +127,20 @@ def test_licence_edge_texts_and_templates(spark):
     assert licenses.scan(empty(spark)).collect() == []
 
 
+def test_all_notices_in_one_long_text(spark):
+    notices = [text for text, _ in licenses.TEMPLATES.values()]
+    ordinary = " ".join(w for text in notices for w in sorted(plain_words(text)))  # each licence word, none in place
+    texts = [" and then ".join(notices)]
+    texts += [" ".join([prose(random.Random(i), 400), ordinary, n, prose(random.Random(-i), 400)]) for i, n in enumerate(notices)]
+    other = [prose(random.Random(100 + i), 30) for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts + other)), "doc_id bigint, text string")
+    found = {r.doc_id: {f.label: f.share for f in r.found} for r in licenses.scan(docs).collect()}
+    assert found[0].keys() == licenses.TEMPLATES.keys()
+    for i, label in enumerate(licenses.TEMPLATES, 1):
+        assert label in found[i], label
+        assert found[0][label] > 0.999 and found[i][label] > 0.999, label
+
+
 # Decontamination
 
 

@@ -33,9 +33,11 @@ BLOCK_BYTES = 6 << 20
 # Bigrams that a task gathers before it hands them on, and that one segment is made from.
 GATHERED = 2_000_000
 SEGMENT_BIGRAMS = 2_000_000
-# A bigram seen once says little and would be most of the filter.
+# Counts from which the model's filter stores bigrams: all that training holds.
+STORED_FROM = 1
+# The same for a filter made without saying from where.
 LEAST_COUNT = 2
-# Levels begin at LEAST_COUNT times the powers of this base.
+# Levels begin at the least stored count times the powers of this base.
 LEVEL_BASE = 2.0
 BITS_PER_ENTRY, PROBES = 12, 6
 MAX_FILTER_BYTES = 128 << 20
@@ -67,20 +69,20 @@ def _seed_and_step(low: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]
     return seed & np.uint64(0xFFFFFFFF), (seed >> np.uint64(32)) | np.uint64(1)
 
 
-def levels_of(counts: np.ndarray) -> np.ndarray:
-    """How many levels a count is stored at; 0 below LEAST_COUNT."""
-    scaled = np.maximum(counts, 1) / LEAST_COUNT
-    return np.where(counts >= LEAST_COUNT, 1 + np.floor(np.log(np.maximum(scaled, 1)) / math.log(LEVEL_BASE) + 1e-9), 0).astype(np.int64)
+def levels_of(counts: np.ndarray, least: int = LEAST_COUNT) -> np.ndarray:
+    """How many levels a count is stored at; 0 below `least`."""
+    scaled = np.maximum(counts, 1) / least
+    return np.where(counts >= least, 1 + np.floor(np.log(np.maximum(scaled, 1)) / math.log(LEVEL_BASE) + 1e-9), 0).astype(np.int64)
 
 
-def count_of(levels: np.ndarray) -> np.ndarray:
+def count_of(levels: np.ndarray, least: int = LEAST_COUNT) -> np.ndarray:
     """The smallest count that is stored at so many levels."""
-    return np.where(levels > 0, np.ceil(LEAST_COUNT * LEVEL_BASE ** (levels - 1.0)), 0.0)
+    return np.where(levels > 0, np.ceil(least * LEVEL_BASE ** (levels - 1.0)), 0.0)
 
 
-def filter_segment(low: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
+def filter_segment(low: np.ndarray, counts: np.ndarray, least: int = LEAST_COUNT) -> tuple[int, bytes]:
     """Bits of a segment for bigrams (40 bits of their hashes) with their counts."""
-    levels = levels_of(counts)
+    levels = levels_of(counts, least)
     n_bits = max(64, BITS_PER_ENTRY * int(levels.sum()) | 1)
     bits = np.zeros(n_bits, bool)
     size = np.uint64(n_bits)
@@ -94,22 +96,27 @@ def filter_segment(low: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
 class CountFilter:
     """Segments [first, first + k) of a filter of `segments` in all, for probing."""
 
-    def __init__(self, segments: int, first: int, parts: list[tuple[int, bytes]]):
-        self.segments, self.first = segments, first
+    def __init__(self, segments: int, first: int, parts: list[tuple[int, bytes]], least: int = LEAST_COUNT):
+        self.segments, self.first, self.least = segments, first, least
         self.n_bits = np.array([max(n, 1) for n, _ in parts], np.uint64)
         sizes = np.array([len(raw) for _, raw in parts], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         self.raw = b"".join(raw for _, raw in parts)
 
-    def counts(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes belong to these segments, and the counts found for them (else 0)."""
+    def counts(self, hashes: np.ndarray, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes belong to these segments, and the counts found for them (else 0).
+
+        `seen`: how often each is known to be stored at least; those levels are not probed.
+        """
         segment = segment_of(hashes, self.segments) - self.first
         mine = (segment >= 0) & (segment < len(self.n_bits))
-        places = np.flatnonzero(mine)
-        levels = np.zeros(len(hashes), np.int64)
+        waiting = np.flatnonzero(mine)
+        levels = np.zeros(len(hashes), np.int64) if seen is None else np.where(mine, levels_of(seen, self.least), 0)
         raw = np.frombuffer(self.raw, np.uint8)
         level = 1
-        while len(places):
+        while len(waiting):
+            known = levels[waiting] >= level
+            places, waiting = waiting[~known], waiting[known]
             own = segment[places]
             n_bits, start = self.n_bits[own], self.starts[own]
             alive = np.arange(len(places))
@@ -121,8 +128,9 @@ class CountFilter:
                     break
             places = places[alive]
             levels[places] = level
+            waiting = np.concatenate([waiting, places])
             level += 1
-        return mine, count_of(levels)
+        return mine, count_of(levels, self.least)
 
 
 @dataclass
@@ -140,6 +148,14 @@ BLOCK_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.b
 BLOCK_NAMES = ["block", "row", "doc_id", "held_out", "codes", "word", "code", "n"]
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents as codes of their block's words, and rows of these words."""
     import zstandard
@@ -147,7 +163,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     block = TaskContext.get().partitionId() << 32
     press = zstandard.ZstdCompressor(level=1)
-    codes_of: dict[bytes, int] = {}
+    codes_of = Numbers()
     counts: list[np.ndarray] = []
     size = number = 0
 
@@ -164,9 +180,6 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc_id, text, held in zip(*(batch.column(i).to_pylist() for i in range(3))):
             found = tokens(text)
-            for w in found:
-                if w not in codes_of:
-                    codes_of[w] = len(codes_of)
             codes = np.fromiter(map(codes_of.__getitem__, found), np.int32, len(found))
             if not held:
                 counts.append(codes)
@@ -176,7 +189,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size >= BLOCK_BYTES:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), BLOCK_TYPES)], names=BLOCK_NAMES)
                 yield words()
-                rows, codes_of, counts, size, number = [], {}, [], 0, 0
+                rows, codes_of, counts, size, number = [], Numbers(), [], 0, 0
                 block += 1
         if rows:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), BLOCK_TYPES)], names=BLOCK_NAMES)
@@ -255,7 +268,7 @@ def count_filter(docs: DataFrame, train_tokens: int) -> tuple[DataFrame, int]:
         order = np.argsort(low, kind="stable")
         low, n = low[order], n[order]
         starts = np.flatnonzero(np.diff(low, prepend=low[:1] ^ np.uint64(1)))
-        n_bits, bits = filter_segment(low[starts], np.add.reduceat(n, starts))
+        n_bits, bits = filter_segment(low[starts], np.add.reduceat(n, starts), STORED_FROM)
         return pa.table(
             {
                 "segment": pa.array([group.column("segment")[0].as_py()], pa.int64()),
@@ -289,7 +302,7 @@ def _score_blocks(corpus: Corpus, stored: DataFrame, segments: int, first: int,
     spark = stored.sparkSession
     rows = {r.segment: (r.n_bits, bytes(r.bits)) for r in stored.filter(F.col("segment").between(first, last - 1)).toLocalIterator()}
     held = spark.sparkContext.broadcast(
-        CountFilter(segments, first, [rows.get(k, (64, bytes(8))) for k in range(first, last)])
+        CountFilter(segments, first, [rows.get(k, (64, bytes(8))) for k in range(first, last)], STORED_FROM)
     )
     n_all, v_all = corpus.train_tokens, corpus.train_words
     whole = first == 0
@@ -316,7 +329,9 @@ def _score_blocks(corpus: Corpus, stored: DataFrame, segments: int, first: int,
         before[starts] = end
         pairs, where = np.unique(before * size + all_codes, return_inverse=True)
         a, b = pairs // size, pairs % size
-        mine, counts = held.value.counts(bigram_hashes(hashes[a], hashes[b]))
+        learnt = np.repeat(~docs.column("held_out").to_numpy(), lengths)
+        seen = np.bincount(where[learnt], minlength=len(pairs))
+        mine, counts = held.value.counts(bigram_hashes(hashes[a], hashes[b]), seen)
         # a bigram is never seen more often than its words
         counts = np.minimum(counts, np.minimum(total[a], total[b]))
         estimate = weight * counts / np.maximum(total[a], 1) + (1 - weight) * unigram[b]

@@ -338,6 +338,38 @@ def test_filter_gives_the_least_count_of_a_level():
     assert (found_part[mine] == found[mine]).all()
 
 
+def test_bigrams_that_training_holds_once_count(spark):
+    rng = random.Random(7)
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2]
+    learnt = [i for i in range(200) if i not in held]
+    words = prose(rng, 40).split()
+    shuffled = words[::2] + words[1::2]
+    docs = [(learnt[0], " ".join(words)), (held[0], " ".join(words)), (held[1], " ".join(shuffled))]
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    shared, other = got[held[0]], got[held[1]]
+    assert shared.held_out and other.held_out and math.isclose(shared.base_score, other.base_score)
+    # all 41 bigrams stand once in training, each of its words too
+    count = Counter(words)
+    assert max(count.values()) == 1
+    estimate = lm.BIGRAM_WEIGHT + (1 - lm.BIGRAM_WEIGHT) * 2 / (41 + 41 + 1)
+    assert math.isclose(shared.score, 41 * math.log10(estimate))
+    assert shared.score > other.score + 20
+
+
+def test_filter_from_one_on_holds_every_bigram():
+    rng = np.random.default_rng(8)
+    hashes = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2))
+    counts = np.maximum(1, (rng.pareto(0.7, len(hashes))).astype(np.int64))
+    kept = lm.CountFilter(1, 0, [lm.filter_segment(hashes & lm.LOW_40, counts, 1)], 1)
+    found = kept.counts(hashes)[1]
+    least = 2.0 ** np.floor(np.log2(counts))
+    assert (found >= least).all() and (found == least).mean() > 0.97
+    seen = rng.integers(0, counts + 1)
+    assert (kept.counts(hashes, seen)[1] == found).all()
+    unseen = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    assert (kept.counts(unseen)[1] > 0).mean() < 0.03
+
+
 def test_digest_of_items_is_that_of_their_names(spark):
     empty_digest = hashlib.sha256(b"").hexdigest()
     got = queries()["op5_decontamination"](spark, SMALL)

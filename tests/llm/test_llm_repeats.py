@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from noticemill.llm import automaton, blocks, repeats, suffixes
@@ -134,3 +135,40 @@ def test_engines_agree_on_windows():
     two = suffixes.first_equal_windows(0)(texts, [0] * 12, places, 4)
     spread = lambda runs: [doc for n, doc, _, _ in runs for _ in range(n)]
     assert [spread(runs) for runs in one] == [spread(runs) for runs in two]
+
+
+def test_sorted_suffixes_know_their_common_prefix():
+    rng = random.Random(9)
+    parts = [[rng.randrange(2) for _ in range(rng.randint(0, 9))] for _ in range(60)]
+    order, common = suffixes.sorted_with_common([np.array(p, ">u4") for p in parts])
+    assert [parts[i] for i in order] == sorted(parts)
+    for i, (a, b) in enumerate(zip(sorted(parts), sorted(parts)[1:]), 1):
+        assert common[i] == next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def test_matches_extend_to_both_sides_of_the_anchor():
+    rng = random.Random(10)
+    say = lambda n: [rng.choice([b"a", b"b"]) for _ in range(n)]
+    length, gram = 8, 3
+    texts, at, places = [], [], []
+    for i in range(150):
+        before, after = say(rng.randint(0, 5)), say(rng.randint(0, 5))
+        before, after = before + say(max(0, 5 - len(before) - len(after))), after
+        texts.append([*before, *rng.choice(([b"x", b"y", b"z"], [b"x", b"y", b"y"])), *after])
+        at.append(len(before))
+        places.append((rng.randrange(40), rng.randrange(2), 100 * i))
+    first = {}
+    for words, a, (doc, row, word) in zip(texts, at, places):
+        for j in range(len(words) - length + 1):
+            key = (a - j, *words[j : j + length])
+            first[key] = min(first.get(key, (99, 0, 0)), (doc, row, word + j))
+    solved = suffixes.first_equal_windows(gram)(texts, at, places, length)
+    for words, a, runs in zip(texts, at, solved):
+        got = [(doc, row, word + i) for n, doc, row, word in runs for i in range(n)]
+        assert got == [first[(a - j, *words[j : j + length])] for j in range(len(words) - length + 1)]
+
+
+def test_windows_are_compared_around_their_anchors():
+    # the same words at another distance from the anchor are another window
+    solved = suffixes.first_equal_windows(2)([[b"a"] * 6, [b"a"] * 6], [1, 3], [(1, 0, 0), (2, 0, 0)], 5)
+    assert solved == [[(2, 1, 0, 0)], [(2, 2, 0, 0)]]

@@ -94,6 +94,59 @@ select doc_id, (min(s) - 1)::bigint as first_word, (max(s) + 50 - min(s))::bigin
 from numbered group by doc_id, run
 """
 
+# crc32 of a short text: bit by bit over its bytes.
+_CRC32 = """xor(list_reduce([unicode(x)::ubigint for x in string_split({text}, '')],
+    lambda c, b: list_reduce(range(8)::ubigint[], lambda d, i: xor(d >> 1, 3988292384::ubigint * (d & 1)), xor(c, b)),
+    4294967295::ubigint), 4294967295::ubigint)"""
+
+
+def _length_and_value(column: str) -> str:
+    return f"coalesce(strlen({column}::varchar)::varchar || ':' || {column}::varchar, '-')"
+
+
+MERKLE_MANIFEST = f"""
+with recursive base as (
+  select doc_id, coalesce('x' || lang, '') as tree, {" || ".join(map(_length_and_value, ("doc_id", "source", "lang", "n_chars")))} as head, text,
+    case when {_CRC32.format(text="doc_id::varchar")} % 3 = 0
+      then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end as claimed
+  from documents),
+hashed as (
+  select doc_id, tree, sha256(head || {_length_and_value("text")}) as leaf, sha256(head || {_length_and_value("claimed")}) as claimed from base),
+leaves as (
+  select *, row_number() over (order by tree, doc_id nulls first, leaf) as row,
+    row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by tree) as n
+  from hashed),
+levels as (
+  select tree, 0 as level, idx, n, leaf as h from leaves
+  union all
+  select tree, level + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' order by idx))
+  from levels where n > 1 group by tree, level, idx // 8),
+subroots as (
+  select tree, level, h, row_number() over (order by tree) - 1 as idx, count(*) over () as n from levels where n = 1),
+tops as (
+  select 0 as level, idx, n, h from subroots
+  union all
+  select level + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' order by idx)) from tops where n > 1 group by level, idx // 8),
+places as (
+  select tree, level, idx, h, tree as up, level + 1 as up_level, idx // 8 as run, idx as rank from levels where n > 1
+  union all select s.tree, s.level, 0, s.h, 'root', 1, s.idx // 8, s.idx from subroots s where n > 1
+  union all select 'root', level, idx, h, 'root', level + 1, idx // 8, idx from tops where n > 1 and level > 0),
+links as (
+  select *, coalesce(string_agg(h, '') over (partition by up, up_level, run order by rank rows between unbounded preceding and 1 preceding), '') as before,
+    coalesce(string_agg(h, '') over (partition by up, up_level, run order by rank rows between 1 following and unbounded following), '') as after
+  from places),
+climb as (
+  select row, tree, 0::bigint as level, idx::bigint as idx, '' as proof, claimed as folded from leaves
+  union all
+  select c.row, l.up, l.up_level::bigint, l.run::bigint, c.proof || l.before || l.after, sha256(l.before || c.folded || l.after)
+  from climb c join links l on c.tree = l.tree and c.level = l.level and c.idx = l.idx),
+ended as (select row, arg_max(proof, strlen(proof) * 100 + (tree = 'root')::int * 50 + level) as proof,
+    arg_max(folded, strlen(proof) * 100 + (tree = 'root')::int * 50 + level) as folded from climb group by row),
+root as (select h from tops where n = 1)
+select doc_id, leaf, s.h as subroot, r.h as root, sha256(e.proof) as proof_sha256, e.folded as folded_root, e.folded = r.h as verified
+from leaves l join ended e on l.row = e.row join subroots s on l.tree = s.tree, root r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -101,4 +154,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_suffix_automata": SUBSTRING_DEDUP,
         "op9_rule_ledger": RULE_LEDGER,
         "op10_sparse_suffix_array": REPEATED_PASSAGES,
+        "op11_merkle_manifest": MERKLE_MANIFEST,
     }

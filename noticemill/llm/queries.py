@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticemill.llm import automaton, contamination, jaccard, licenses, lm, packing, quality, records, suffixes, urls
+from noticemill.llm import automaton, contamination, jaccard, licenses, lm, merkle, packing, quality, records, suffixes, urls
 from noticemill.llm.common import table, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,5 +101,13 @@ def op10_sparse_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    found = merkle.manifest(table(spark, folder, "documents"))
+    digests = [merkle.as_hex(F.col(name)).alias(name) for name in ("leaf", "subroot", "root", "folded_root")]
+    proof = F.sha2(merkle.as_hex(F.col("proof")), 256).alias("proof_sha256")
+    return found.select("doc_id", *digests[:3], proof, digests[3], "verified")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticemill.llm import automaton, contamination, jaccard, licenses, lm, merkle, packing, quality, records, suffixes, urls
+from noticemill.llm import automaton, bpe, contamination, jaccard, licenses, lm, merkle, packing, quality, records, suffixes, urls
 from noticemill.llm.common import table, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 TOKENIZER_FILE = "byte_bpe_50k.json"
+RANKS_FILE = "byte_bpe_50k.tiktoken"
 
 
 def query(fn: Query) -> Query:
@@ -21,14 +22,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def tokenizer_path() -> str:
-    """Where the tokenizer file is: $NOTICEMILL_TOKENIZERS, or the installed package."""
+def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
+    """Where a tokenizer file is: in $NOTICEMILL_TOKENIZERS, or in the installed package."""
     folder = os.environ.get("NOTICEMILL_TOKENIZERS")
     if folder:
-        return os.path.join(folder, TOKENIZER_FILE)
+        return os.path.join(folder, name)
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER_FILE)
+    return public_tokenizers.path(name)
 
 
 @query
@@ -109,5 +110,14 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *digests[:3], proof, digests[3], "verified")
 
 
+@query
+def op13_recursive_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    found = bpe.encode(table(spark, folder, "documents"), tokenizer_path(RANKS_FILE), public_tokenizers.PATTERN)
+    ids, decoded = F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    return found.select("doc_id", "n_tokens", ids, decoded)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

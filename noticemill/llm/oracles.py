@@ -148,6 +148,62 @@ from leaves l join ended e on l.row = e.row join subroots s on l.tree = s.tree,
 """
 
 
+CONVERSATION_REPAIR = rf"""
+with recursive keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {_CRC32.format(text="(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))")} % 20 as code
+  from conversations),
+damaged as (
+  select conv_id, turn, case when code = 4 then 'user' else role end as role,
+    case when code = 1 then '' when code = 2 then translate(text, '.!?', '') else text end as text,
+    unnest(case when code = 3 then [1, 2] else [1] end) as copy
+  from keyed where code <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body
+  from damaged),
+faults as (
+  select conv_id, turn, role, text, i, left(role, 1) as initial, lag(left(role, 1)) over (partition by conv_id order by i) as before,
+    case when body = '' then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+      when right(body, 1) not in ('.', '!', '?') then 'truncated' else 'fine' end as fault
+  from placed),
+counted as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+  from faults group by conv_id),
+edits(q, edit, initial, to_q, price, role) as (values
+  (0, 'D', null, 0, 2, null), (1, 'D', null, 1, 2, null), (2, 'D', null, 2, 2, null), (3, 'D', null, 3, 2, null),
+  (0, 'K', 's', 1, 0, null), (0, 'K', 'u', 2, 0, null), (1, 'K', 'u', 2, 0, null), (3, 'K', 'u', 2, 0, null), (2, 'K', 'a', 3, 0, null),
+  (0, 'R', null, 2, 1, 'user'), (1, 'R', null, 2, 1, 'user'), (3, 'R', null, 2, 1, 'user'), (2, 'R', null, 3, 1, 'assistant')),
+added(q, letters, to_q, price, rows) as (values
+  (0, '', 0, 0, []::varchar[]), (1, '', 1, 0, []), (2, '', 2, 0, []), (3, '', 3, 0, []),
+  (0, 'I', 2, 5, ['user:']), (1, 'I', 2, 5, ['user:']), (2, 'I', 3, 5, ['assistant:']), (3, 'I', 2, 5, ['user:']),
+  (0, 'II', 3, 10, ['user:', 'assistant:']), (1, 'II', 3, 10, ['user:', 'assistant:']),
+  (2, 'II', 2, 10, ['assistant:', 'user:']), (3, 'II', 3, 10, ['user:', 'assistant:'])),
+walk(conv_id, i, q, cost, audit, rows) as (
+  select conv_id, 0::bigint, to_q, price, letters, rows from (select distinct conv_id from conversations), added where q = 0
+  union all
+  select conv_id, i, q, min(cost), arg_min(audit, lpad(cost::varchar, 9, '0') || audit), arg_min(rows, lpad(cost::varchar, 9, '0') || audit)
+  from (
+    select w.conv_id, f.i, a.to_q as q, w.cost + e.price + a.price + case when f.fault = 'truncated' and edit <> 'D' then 5 else 0 end as cost,
+      w.audit || edit || letters as audit,
+      w.rows || case edit when 'D' then []::varchar[] else [coalesce(e.role, f.role) || ':' || f.text] end || a.rows as rows
+    from walk w join faults f on f.conv_id = w.conv_id and f.i = w.i + 1
+    join edits e on e.q = w.q and (e.initial is null or e.initial = f.initial) and (edit = 'D' or f.fault in ('fine', 'truncated'))
+    join added a on a.q = e.to_q)
+  group by conv_id, i, q),
+ended as (
+  select w.conv_id, min(cost) as cost, arg_min(audit, lpad(cost::varchar, 9, '0') || audit) as audit, arg_min(rows, lpad(cost::varchar, 9, '0') || audit) as rows
+  from walk w left join counted c on c.conv_id = w.conv_id where w.i = coalesce(n, 0) and q in (0, 3) group by w.conv_id)
+select e.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, cost::bigint as cost, audit,
+  sha256(array_to_string(rows, chr(10))) as repaired_sha256
+from ended e left join counted c on c.conv_id = e.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_decontamination": DECONTAMINATION,
@@ -155,4 +211,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_rule_ledger": RULE_LEDGER,
         "op10_sparse_suffix_array": REPEATED_PASSAGES,
         "op11_merkle_manifest": MERKLE_MANIFEST,
+        "op12_conversation_repair": CONVERSATION_REPAIR,
     }

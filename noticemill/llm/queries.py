@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticemill.llm import automaton, bpe, contamination, jaccard, licenses, lm, merkle, packing, quality, records, suffixes, urls
+from noticemill.llm import automaton, bpe, contamination, conversations, jaccard, licenses, lm, merkle, packing, quality, records, suffixes, urls
 from noticemill.llm.common import table, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,11 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *digests[:3], proof, digests[3], "verified")
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, folder, "conversations")))[0]
+
+
 @query
 def op13_recursive_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers

@@ -1,0 +1,150 @@
+"""Repair of conversations against a plain search over all edits, in blocks of any size."""
+
+import hashlib
+import random
+import zlib
+from functools import lru_cache
+
+import numpy as np
+import pytest
+
+from noticemill.llm import conversations
+from tests.llm.helpers import WHITE
+
+AFTER = {"": "u", "s": "u", "u": "a", "a": "u"}
+NAME = {"u": "user", "a": "assistant"}
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        code = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = (" " if role is None else role), (" " if text is None else text)
+        text = "" if code == 1 else text.translate({ord(c): None for c in ".!?"}) if code == 2 else text
+        role = "user" if code == 4 else role
+        out += [(conv, turn, role, text)] * {0: 0, 3: 2}.get(code, 1)
+    return out
+
+
+def expected(rows):
+    """Report of one conversation whose rows (conv, turn, role, text) are in order."""
+    seen, kinds = set(), []
+    for row in rows:
+        text = row[3].rstrip(WHITE)
+        kinds.append("blank" if not text else "duplicate" if row[2:] in seen else "truncated" if text[-1] not in ".!?" else "fine")
+        seen.add(row[2:])
+
+    @lru_cache(None)
+    def best(i, state, added=0):
+        """(cost, audit, rows) from here on; more than two rows added at one place never pay."""
+        found = [(0, "", ())] if i == len(rows) and state in ("", "a") else []
+
+        def take(price, letter, row, rest):
+            if rest:
+                found.append((price + rest[0], letter + rest[1], row + rest[2]))
+
+        if added < 2:
+            new = AFTER[state]
+            take(5, "I", (f"{NAME[new]}:",), best(i, new, added + 1))
+        if i < len(rows):
+            _, _, role, text = rows[i]
+            take(2, "D", (), best(i + 1, state))
+            if kinds[i] in ("fine", "truncated"):
+                price = 5 if kinds[i] == "truncated" else 0
+                if role[:1] in ("u", "a") and AFTER[state] == role[:1] or role[:1] == "s" and state == "":
+                    take(price, "K", (f"{role}:{text}",), best(i + 1, role[:1]))
+                new = AFTER[state]
+                take(price + 1, "R", (f"{NAME[new]}:{text}",), best(i + 1, new))
+        return min(found, default=None)
+
+    cost, audit, out = best(0, "")
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    counts = [kinds.count(k) for k in ("blank", "duplicate", "truncated")]
+    return (gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(out).encode()).hexdigest()), "\n".join(out)
+
+
+def conversation(rng, conv, n):
+    texts = ["Yes.", "No!", "Cut off", "", " \t", "Why?", "So\n", "Long. " * 30, "日本。", None]
+    roles = ["user", "assistant", "system", "user", "assistant", "tool", "", None, "unknown"]
+    turn, rows = 0, []
+    for i in range(n):
+        turn += rng.choice([1, 1, 1, 2])
+        role = rng.choice(roles) if rng.random() < 0.4 else ("user", "assistant")[i % 2]
+        text = rng.choice(texts) if rng.random() < 0.6 else f"Text {rng.random()}."
+        rows.append((conv, turn if rng.random() < 0.95 else turn + 1, role, text))
+        turn = rows[-1][1]
+    if rows and rng.random() < 0.3:
+        rows.insert(0, (conv, None, "system", "Be kind."))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rng = random.Random(12)
+    rows = [r for c in range(60) for r in conversation(rng, c, rng.randint(1, 9))]
+    rows += conversation(rng, None, 7) + conversation(rng, 1000, 300) + conversation(rng, -5, 40)
+    wanted, texts = {}, {}
+    for conv in {r[0] for r in rows}:
+        mine = damage([r for r in rows if r[0] == conv])
+        wanted[conv], texts[conv] = expected(mine)
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    for name in ("place", "_hash", "key", "whole"):
+        df = df.selectExpr("*", f"turn as {name}")
+    return df, wanted, texts
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 1024])
+def test_repaired_as_by_search(tables, block_rows):
+    df, wanted, texts = tables
+    report, repaired = conversations.repair(conversations.damaged(df.repartition(5)), block_rows)
+    got = {r.conv_id: tuple(r)[1:] for r in report.collect()}
+    assert got == wanted
+    pieces = {}
+    for r in sorted(repaired.collect(), key=lambda r: r.place):
+        pieces.setdefault(r.conv_id, []).append(r.repaired)
+    assert {c: "\n".join(p) for c, p in pieces.items()} == {c: t for c, t in texts.items() if t}
+
+
+def test_one_row_over_and_over(spark):
+    """Equal rows of one turn, spread over all tasks: the first stays, the others are duplicates."""
+    rows = [(7, 1, "user", "Well."), (7, 2, "assistant", "Fine.")] * 400
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(6)
+    got = conversations.repair(df, block_rows=50)[0].collect()
+    assert len(got) == 1
+    text = "user:Well.\nassistant:Fine."
+    assert tuple(got[0]) == (7, 0, 0, 798, 0, 798, 1596, "K" + "D" * 399 + "K" + "D" * 399, hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_dropped_and_empty(spark):
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    gone = spark.createDataFrame([(1, 1, None, None), (1, 2, None, None)], schema)
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert [tuple(r) for r in conversations.repair(gone)[0].collect()] == [(1, 0, 0, 0, 0, 0, 0, "", nothing)]
+    report, texts = conversations.repair(conversations.damaged(spark.createDataFrame([], schema)))
+    assert report.collect() == [] and texts.collect() == []
+
+
+def test_ranks_are_those_of_whole_audits():
+    """Every node's least way, read off the doubled pointers, is the least of all cheapest ways."""
+    rng = random.Random(3)
+    for _ in range(200):
+        n = rng.randint(0, 6)
+        block = np.array([rng.randrange(4) for _ in range(n)], np.int64), np.array([rng.randrange(3) for _ in range(n)], np.int64)
+        graph = conversations.Graph([block], conversations.ACCEPTED[None, :], np.array([True]))
+
+        def ways(node):
+            out = []
+            if node >= graph.last[0] and graph.cost[node] == graph.ends[0][node - graph.last[0]]:
+                return [""]
+            for edit, letter in enumerate(conversations.LETTERS):
+                to = graph.to[node, edit]
+                if to >= 0 and graph.price[node, edit] + graph.cost[to] == graph.cost[node]:
+                    out += [letter + rest for rest in ways(to)]
+            return out
+
+        for state in range(4):
+            audit, _ = graph.least_paths(np.array([state]))[0]
+            assert audit == min(ways(int(graph.first[0]) + state))

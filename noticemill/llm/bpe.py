@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Bytes of the pieces and of the words a worker remembers, with what they cost beside their text.
-REMEMBERED_BYTES = 192 << 20
+REMEMBERED_BYTES = 384 << 20
 ENTRY_BYTES = 200
 # Bytes of the words in one recursive query.
 QUERY_BYTES = 1 << 19
@@ -187,19 +187,20 @@ class Codec:
             for memory in (self.words, self.ids, self.decoded):
                 memory.clear()
             self.held = 0
+        split = [(text or "").split(" ") for text in texts]
+        new = [p for p in set().union(*[parts[1:] for parts in split]) if p not in self.ids]
+        # white space on either side of a space: there a match may begin elsewhere
+        unclean = {p for p in new if not p or p != p.strip()}
         heads: list[list[str]] = []  # words before the first cut, of a text that can't be cut all its words
         tails: list[list[str]] = []  # pieces, each without the space before it
-        pieces: dict[str, list[str]] = {}
-        for text in texts:
-            first, *rest = (text or "").split(" ")
-            new = set([p for p in rest if p not in self.ids and p not in pieces])
-            if rest and (not first or first[-1].isspace() or "" in new or any([p != p.strip() for p in new])):
+        for text, (first, *rest) in zip(texts, split):
+            if rest and (not first or first[-1].isspace() or not unclean.isdisjoint(rest)):
                 heads.append(self.pattern.findall(text))
                 tails.append([])
             else:
                 heads.append(self.pattern.findall(first))
                 tails.append(rest)
-                pieces.update([(p, self.pattern.findall(" " + p)) for p in new])
+        pieces = {p: self.pattern.findall(" " + p) for p in new if p not in unclean}
         wanted = {w for words in heads for w in words}.union(*pieces.values())
         self._learn_words([w for w in wanted if w not in self.words])
         for piece, words in pieces.items():
@@ -208,8 +209,8 @@ class Codec:
         for head, tail in zip(heads, tails):
             ids, raw = self._of_words(head)
             if tail:
-                ids = " ".join([ids, *[self.ids[p] for p in tail]])
-                raw = b"".join([raw, *[self.decoded[p] for p in tail]])
+                ids = " ".join([ids, *map(self.ids.__getitem__, tail)])
+                raw = b"".join([raw, *map(self.decoded.__getitem__, tail)])
             yield ids, raw
 
 

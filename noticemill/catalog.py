@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,8 @@ from noticemill.sources import html, lines, lists
 from noticemill.sources import registry as registry_source
 from noticemill.streaming.intake import stream_lists
 from noticemill.streaming.notices import stream_new_notices
+from noticemill.streaming.pages import stream_pages
+from noticemill.streaming.reruns import report_run
 
 AS_OF = date(2001, 8, 1)
 RUN_AT = datetime(2001, 8, 1, 12, 30, 5)
@@ -497,3 +499,30 @@ def stream_new_notices_query(t: Fixtures) -> DataFrame:
         t.spark, landed, notices.schema, lambda: t.registry, out, checkpoint, window_days=30, files_per_batch=1
     ).awaitTermination()
     return t.spark.read.parquet(out).select("law", "notice_num")
+
+
+@query
+def stream_open_notices(t: Fixtures) -> DataFrame:
+    """Three weekly runs over what has landed until then; the registry learns a third of its rows before each."""
+    landed, out, runs, state = (new_path(t.spark, f"open-{n}") for n in ("landed", "out", "runs", "state"))
+    notices = t.notices.select("law", "notice_num", "published_on")
+    landed_until = None
+    for i, as_of in enumerate(AS_OF - timedelta(days=7 * k) for k in (2, 1, 0)):
+        later = F.lit(True) if landed_until is None else F.col("published_on") > F.lit(landed_until)
+        until = F.lit(True) if as_of == AS_OF else F.col("published_on") <= F.lit(as_of)
+        notices.filter(later & until).write.mode("append").parquet(landed)
+        landed_until = as_of
+        known = t.registry.filter(F.col("id_notification") % 3 <= i)
+        report_run(t.spark, landed, notices.schema, lambda: known, out, runs, state, as_of, 30).awaitTermination()
+    return t.spark.read.parquet(out).select(F.col("run_on").cast("string").alias("run_on"), "law", "notice_num")
+
+
+@query
+def stream_contiguous_pages(t: Fixtures) -> DataFrame:
+    """All result pages landed in three files, later pages first, streamed with one file per batch."""
+    landed, out, state = (new_path(t.spark, f"pages-{n}") for n in ("landed", "out", "state"))
+    found = t.search_pages
+    for i in (2, 0, 1):
+        found.filter(F.col("page_num") % 3 == i).coalesce(1).write.mode("append").parquet(landed)
+    stream_pages(t.spark, landed, out, state, found.schema, files_per_batch=1).awaitTermination()
+    return t.spark.read.parquet(out).filter("not coalesce(given_up, false)").select("search_id", "page_num", "card_pos", "label", "href")

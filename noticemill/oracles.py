@@ -338,6 +338,18 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {
         f"select distinct law, notice_num from notices n where {VALID} and {UNKNOWN}",
         ("notices", "registry"),
     ),
+    "stream_open_notices": (
+        f"""select distinct run_on, law, notice_num from notices n,
+         (values ('2001-07-18', 0), ('2001-07-25', 1), ('2001-08-01', 2)) as r(run_on, i)
+        where {VALID} and published_on between run_on::date - 30 and run_on::date
+         and not exists (select 1 from registry k where k.notificationnumber = n.notice_num and k.law = n.law and k.id_notification % 3 <= i)""",
+        ("notices", "registry"),
+    ),
+    "stream_contiguous_pages": (
+        """select search_id, page_num, card_pos, label, href from search_cards s where page_num = (select count(distinct p.page_num)
+        from search_cards p where p.search_id = s.search_id and p.page_num <= s.page_num)""",
+        ("search_cards",),
+    ),
 }
 
 

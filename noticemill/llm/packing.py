@@ -176,8 +176,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, held: int = HELD
             rests.clear()
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw = encode.encode(text)
+            for doc_id, raw in zip(batch.column(0).to_pylist(), encode.encode_all(batch.column(1).to_pylist())):
                 n_ids = len(raw) // width
                 doc, whole = (doc_id, n_ids), n_ids - n_ids % window
                 for start in range(0, whole, window):

@@ -105,8 +105,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, file_bytes: int =
         n_records = n_ids = place = 0
         with folder.open_output_stream(f"{root}/{data}") as out, folder.open_output_stream(f"{root}/{offsets}") as index:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    ids = encode.encode(text)
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encode.encode_all(batch.column(1).to_pylist())):
                     record = framed(doc_id, ids, encode.width)
                     out.write(record)
                     index.write(struct.pack("<Q", place))

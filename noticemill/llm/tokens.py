@@ -1,9 +1,10 @@
 """Texts to token ids with a tokenizer file, inside tasks.
 
 A byte-level BPE never merges across the place before a single space that stands between
-two other characters, so a text is cut there and each distinct piece is encoded once per
-worker; texts with other white space around their spaces are encoded whole. The ids are
-those of the library either way (tests compare).
+two other characters, nor across a single line break between two, so a text is cut there
+and each distinct piece is encoded once as long as a worker remembers it. Texts with other
+white space around their spaces, or with a token that was added to the vocabulary (such as
+an end mark), are encoded whole. The ids are those of the library either way (tests compare).
 """
 
 from __future__ import annotations
@@ -13,8 +14,11 @@ from array import array
 
 import numpy as np
 
-# Pieces a worker remembers before it starts anew (about 200 MB).
-REMEMBERED = 1_000_000
+# Bytes of the pieces a worker remembers, with what they cost beside their text and ids.
+REMEMBERED_BYTES = 224 << 20
+ENTRY_BYTES = 200
+# Bytes of the new pieces in one call of the library.
+CALL_BYTES = 1 << 20
 # How the vocabulary writes the space before a word.
 SPACE_MARK = "Ġ"
 
@@ -27,7 +31,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.width = 2 if size <= 1 << 16 else 4
         self.type = np.dtype("<u2" if self.width == 2 else "<u4")
@@ -35,44 +39,82 @@ class Encoder:
         self.spaced = np.zeros(size, bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.spaced[number] = token.startswith(SPACE_MARK)
+        self.line_break = self._ids("\n")
+        # ids of pieces that follow a space, and of those that begin a line
         self.seen: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {"": b""}
+        self.held = 0
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array("H" if self.width == 2 else "I", ids).tobytes()
 
     def _ids(self, text: str) -> bytes:
-        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return array("H" if self.width == 2 else "I", found).tobytes()
-
-    def _learn(self, pieces: list[str]) -> bool:
-        """Remember the ids of new pieces; False if one of them can't be cut off."""
-        new = [p for p in set(pieces) if p not in self.seen]
-        if any(not p or p != p.strip() for p in new):
-            return False
-        if len(self.seen) + len(new) > REMEMBERED:
-            self.seen.clear()
-            new = list(set(pieces))
-        raw = self._ids(" " + " ".join(new))
-        ids = np.frombuffer(raw, self.type)
-        starts = np.flatnonzero(self.spaced[ids])
-        if len(starts) != len(new):
-            return False
-        starts *= self.width
-        cuts = [*starts.tolist(), len(raw)]
-        self.seen.update(zip(new, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
-        return True
+        return self._bytes(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Remember the ids of new pieces that follow a space, some of them in each call."""
+        some: list[str] = []
+        size = 0
+        for n, piece in enumerate(pieces, 1):
+            some.append(piece)
+            size += len(piece)
+            if size < CALL_BYTES and n < len(pieces):
+                continue
+            raw = self._ids(" " + " ".join(some))
+            starts = np.flatnonzero(self.spaced[np.frombuffer(raw, self.type)]) * self.width
+            if len(starts) == len(some):
+                cuts = [*starts.tolist(), len(raw)]
+                self.seen.update(zip(some, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+            else:
+                self.seen.update((p, self._ids(" " + p)) for p in some)
+            self.held += 3 * size + ENTRY_BYTES * len(some)
+            some, size = [], 0
+
+    def _learn_first(self, pieces: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        self.first.update((p, self._bytes(x.ids)) for p, x in zip(pieces, found))
+        self.held += sum(3 * len(p) + ENTRY_BYTES for p in pieces)
+
+    def _cut(self, text: str) -> list[list[str]] | None:
+        """Lines of words; None for a text that is to be encoded whole."""
+        if any(token in text for token in self.added):
+            return None
+        lines = text.split("\n")
+        if any([not line or line != line.strip() for line in lines]):
+            lines = [text]
+        return [line.split(" ") for line in lines]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """For each text its ids and the end id 0; null is as empty."""
+        if self.held > REMEMBERED_BYTES:
+            self.seen, self.first, self.held = {}, {"": b""}, 0
+        cut = [self._cut(text) if text else [[""]] for text in texts]
+        lines = [line for text in cut if text for line in text]
+        new = [p for p in set().union(*[line[1:] for line in lines]) if p not in self.seen]
+        # white space on either side of a space: there a merge may reach across
+        unclean = {p for p in new if not p or p != p.strip()}
+        self._learn([p for p in new if p not in unclean])
+        new = [p for p in {line[0] for line in lines} if p not in self.first]
+        unclean_first = {p for p in new if p != p.strip()}
+        self._learn_first([p for p in new if p not in unclean_first])
+
+        def whole(line: list[str]) -> bool:
+            if line[0] in unclean_first:
+                return True
+            return len(line) > 1 and (not line[0] or bool(unclean) and not unclean.isdisjoint(line[1:]))
+
+        out = []
+        for text, parts in zip(texts, cut):
+            if parts is None or any([whole(line) for line in parts]):
+                out.append(self._ids(text) + self.end)
+            else:
+                ids = [b"".join([self.first[line[0]], *map(self.seen.__getitem__, line[1:])]) for line in parts]
+                out.append(self.line_break.join(ids) + self.end)
+        return out
 
     def encode(self, text: str | None) -> bytes:
         """Ids of the whole text, and the end id 0."""
-        if not text:
-            return self.end
-        first, *rest = text.split(" ")
-        if rest and (not first or first != first.strip()):
-            return self._ids(text) + self.end
-        try:
-            body = b"".join([self.seen[p] for p in rest])
-        except KeyError:
-            if not self._learn(rest):
-                return self._ids(text) + self.end
-            body = b"".join([self.seen[p] for p in rest])
-        return (self._ids(first) if first else b"") + body + self.end
+        return self.encode_all([text])[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}

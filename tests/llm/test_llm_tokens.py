@@ -16,9 +16,7 @@ from tests.llm.helpers import edge_documents, edge_texts, empty, rows_of
 def library():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(tokenizer_path())
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +41,18 @@ def test_edge_texts(library, encoder):
         same(library, encoder, text)
 
 
+def test_added_tokens_are_their_ids(library, encoder):
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\ny z", "<|endoftext| >"):
+        same(library, encoder, text)
+    assert np.frombuffer(encoder.encode("a <|endoftext|> b"), encoder.type).tolist() == [64, 220, 50256, 275, 0]
+
+
+def test_many_texts_at_once(library, encoder):
+    texts = [None, "one two", "", "two\none two", "two\n\none", " two", "one \ntwo", *edge_texts(), "end\n"]
+    for text, got in zip(texts, encoder.encode_all(texts)):
+        assert np.frombuffer(got, encoder.type).tolist() == ids(library, text)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("ab' sdé1٣.,\n\t\r\x0b\x1c\x85  ᠎​日Ġ<|>")), max_size=40))
 def test_odd_white_space(library, encoder, text):
@@ -56,7 +66,7 @@ def test_any_text(library, encoder, text):
 
 
 def test_forgetting_pieces_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    monkeypatch.setattr(tokens, "REMEMBERED_BYTES", 3)
     small = tokens.Encoder(tokenizer_path())
     for text in ("a b c d e f g", "g f e d", "a a a b"):
         same(library, small, text)

@@ -17,6 +17,7 @@ from noticemill.session import configure, new_path
 from noticemill.sources import html, lines, lists
 from noticemill.sources import registry as registry_source
 from noticemill.streaming.intake import stream_lists
+from noticemill.streaming.matches import stream_keyword_run
 from noticemill.streaming.notices import stream_new_notices
 from noticemill.streaming.pages import stream_pages
 from noticemill.streaming.reruns import report_run
@@ -526,3 +527,26 @@ def stream_contiguous_pages(t: Fixtures) -> DataFrame:
         found.filter(F.col("page_num") % 3 == i).coalesce(1).write.mode("append").parquet(landed)
     stream_pages(t.spark, landed, out, state, found.schema, files_per_batch=1).awaitTermination()
     return t.spark.read.parquet(out).filter("not coalesce(given_up, false)").select("search_id", "page_num", "card_pos", "label", "href")
+
+
+@query
+def stream_kw_44(t: Fixtures) -> DataFrame:
+    """Both policies over notices, texts and attachments that land in three portions, each in another order."""
+    notices, texts = new_path(t.spark, "landed-notices"), new_path(t.spark, "landed-texts")
+    own = t.notices.select("notice_id", "law", "notice_num", "published_on")
+    for i in range(3):
+        at = F.lit(datetime(2001, 8, 1, 6 * i)).alias("landed_at")
+        own.filter(F.col("notice_id") % 3 == i).select("*", at).write.mode("append").parquet(notices)
+        parts = t.documents.filter(F.col("doc_id") % 3 == (i + 1) % 3).select("doc_id", "text")
+        parts = parts.unionByName(_attachments(t).filter(F.col("doc_id") % 3 == (i + 2) % 3))
+        parts.select("*", at).coalesce(1).write.mode("append").parquet(texts)
+    schema = t.spark.read.parquet(notices).schema
+    runs = []
+    for policy in keywords.POLICIES:
+        out, state = new_path(t.spark, "matches"), new_path(t.spark, "matches-state")
+        stream_keyword_run(
+            t.spark, notices, schema, texts, _terms(t.lists), lambda: t.registry, out, state, "44", policy, (AS_OF, 2000), files_per_batch=1
+        ).awaitTermination()
+        lines_of = t.spark.read.schema("list_id string, notice_num string").parquet(f"{out}/lines")
+        runs.append(lines_of.select(F.lit(policy).alias("policy"), "list_id", F.col("notice_num").alias("line")))
+    return runs[0].unionByName(runs[1])

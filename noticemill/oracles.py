@@ -345,6 +345,12 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {
          and not exists (select 1 from registry k where k.notificationnumber = n.notice_num and k.law = n.law and k.id_notification % 3 <= i)""",
         ("notices", "registry"),
     ),
+    "stream_kw_44": (
+        f"""select distinct 'any' as policy, list_id, notice_num as line from ({ATTACHED_HITS})
+        union all select distinct 'all', m.list_id, m.notice_num from ({ATTACHED_HITS}) m group by m.list_id, m.notice_num, m.notice_id
+         having count(*) = (select count(distinct k.term) from ({KW}) k where k.list_id = m.list_id)""",
+        ("lists", "notices", "registry"),
+    ),
     "stream_contiguous_pages": (
         """select search_id, page_num, card_pos, label, href from search_cards s where page_num = (select count(distinct p.page_num)
         from search_cards p where p.search_id = s.search_id and p.page_num <= s.page_num)""",

@@ -1,9 +1,10 @@
 """Streams with state and timers, run after run."""
 
 import time
-from datetime import date
+from datetime import date, datetime
 
 from noticemill.operators.registry import new_numbers
+from noticemill.streaming.matches import missed_texts, stream_keyword_run
 from noticemill.streaming.pages import PAGE_SCHEMA, stream_pages
 from noticemill.streaming.reruns import report_run
 
@@ -90,3 +91,34 @@ def test_a_search_that_waits_too_long_gives_its_pages_up(spark, tmp_path):
     land(spark, landed, [(1, 2)])
     stream_pages(spark, landed, out, state, patience_ms=500).awaitTermination()
     assert released(spark, out)[0] == [(1, 1), (1, 2), (2, 1), (2, 2)]
+
+
+def test_texts_meet_their_notices_whenever_they_land(spark, tmp_path):
+    notice_schema = "notice_id bigint, law string, notice_num string, published_on date, landed_at timestamp"
+    text_schema = "doc_id bigint, text string, landed_at timestamp"
+    notices, texts, out, state = (str(tmp_path / n) for n in ("notices", "texts", "out", "state"))
+    lists = spark.createDataFrame([("l", "Pine"), ("l", "fir"), ("m", "oak")], "list_id string, term string")
+    known = spark.createDataFrame([(1, number(3), "44")], KNOWN)
+
+    def day(n):
+        return datetime(2001, 8, n)
+
+    def run(new_notices, new_texts):
+        rows = [(i, law, num, date(2001, 8, 1), day(d)) for i, law, num, d in new_notices]
+        spark.createDataFrame(rows, notice_schema).write.mode("append").parquet(notices)
+        spark.createDataFrame([(i, t, day(d)) for i, t, d in new_texts], text_schema).write.mode("append").parquet(texts)
+        stream_keyword_run(spark, notices, notice_schema, texts, lists, lambda: known, out, state, policy="all").awaitTermination()
+        got = spark.read.schema("list_id string, notice_num string").parquet(f"{out}/lines").collect()
+        return sorted((r.list_id, int(r.notice_num)) for r in got)
+
+    first = [(1, "44", number(1), 1), (2, "44", number(2), 1), (3, "44", number(3), 1), (4, "223", "30000000004", 1)]
+    assert run(first, [(1, "PINES", 1), (1, None, 1), (3, "oak", 1), (4, "oak", 1), (5, "oak", 1), (None, "oak", 1)]) == []
+    # the second term of 1 in another text, the notice of 5 after its text, 2 too far from its text
+    got = run([(5, "44", number(5), 2), (5, "44", number(5), 2)], [(1, "a fir tree", 2), (1, "fir", 2), (2, "oak", 12)])
+    assert got == [("l", 1), ("m", 5)]
+    assert run([(9, "44", number(9), 28)], [(9, "oak", 28)]) == [("l", 1), ("m", 5), ("m", 9)]
+    # 2 would have met this text, but it comes after the state of its time is gone
+    assert run([(10, "44", number(10), 28)], [(2, "oak", 3)]) == [("l", 1), ("m", 5), ("m", 9)]
+    all_notices, all_texts = spark.read.parquet(notices), spark.read.parquet(texts)
+    missed = missed_texts(all_notices, all_texts, lists, out).collect()
+    assert [(r.doc_id, r.landed_at) for r in missed] == [(2, day(3))]

@@ -11,7 +11,7 @@ QUERIES, SQL = queries.queries(), oracles.oracle_sql()
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
 

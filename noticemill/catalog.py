@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from noticemill.fixtures import Fixtures
 from noticemill.functions import text
-from noticemill.operators import codes, enrich, facets, filters, keywords, pages, registry
+from noticemill.operators import codes, enrich, facets, filters, keywords, pages, registry, text_index
 from noticemill.operators.chunks import chunk_terms
 from noticemill.plans import search
 from noticemill.session import configure, new_path
@@ -175,6 +175,24 @@ def kw_any(t: Fixtures) -> DataFrame:
     return keywords.keyword_matches(t.documents, keywords.clauses_of(_terms(t.lists), "any"), "doc_id")
 
 
+def _document_index(t: Fixtures) -> str:
+    """An index to which the documents were added in two batches."""
+    path = new_path(t.spark, "text-index")
+    for i in range(2):
+        text_index.add_to_index(t.documents.filter(F.col("doc_id") % 2 == i), path, str(i))
+    return path
+
+
+@query
+def kw_any_indexed(t: Fixtures) -> DataFrame:
+    return text_index.indexed_matches(t.spark, _document_index(t), _terms(t.lists), "any")
+
+
+@query
+def kw_all_indexed(t: Fixtures) -> DataFrame:
+    return text_index.indexed_matches(t.spark, _document_index(t), _terms(t.lists), "all")
+
+
 @query
 def kw_all(t: Fixtures) -> DataFrame:
     return keywords.keyword_matches(t.documents, keywords.clauses_of(_terms(t.lists), "all"), "doc_id")

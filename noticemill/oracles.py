@@ -358,6 +358,9 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
 }
 
+# the index gives the rows of the scan
+ORACLES["kw_any_indexed"], ORACLES["kw_all_indexed"] = ORACLES["kw_any"], ORACLES["kw_all"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {key: with_fixtures(sql, names) for key, (sql, names) in ORACLES.items()}

@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 
 # Bytes of the pieces a worker remembers, with what they cost beside their text and ids.
-REMEMBERED_BYTES = 224 << 20
+REMEMBERED_BYTES = 448 << 20
 ENTRY_BYTES = 200
 # Bytes of the new pieces in one call of the library.
 CALL_BYTES = 1 << 20

@@ -14,7 +14,7 @@ from noticemill.operators import codes, enrich, facets, filters, keywords, pages
 from noticemill.operators.chunks import chunk_terms
 from noticemill.plans import search
 from noticemill.session import configure, new_path
-from noticemill.sources import html, lines, lists
+from noticemill.sources import html, lines, lists, runs
 from noticemill.sources import registry as registry_source
 from noticemill.streaming.intake import stream_lists
 from noticemill.streaming.matches import stream_keyword_run
@@ -110,6 +110,28 @@ def compact_output(t: Fixtures) -> DataFrame:
     return lines.read_lines(t.spark, compacted).select("list_id", "line")
 
 
+@query
+def sink_runs(t: Fixtures) -> DataFrame:
+    """A run with a manifest, repeated with the same time."""
+    path = new_path(t.spark, "runs")
+    for _ in range(2):
+        runs.write_run(_new_lines(t), path, RUN_AT)
+    return runs.read_runs(t.spark, path).select("list_id", "run_ts", "line")
+
+
+@query
+def compact_runs(t: Fixtures) -> DataFrame:
+    """Three runs, merged after the second and after the third, which has new lines for some lists only."""
+    path = new_path(t.spark, "runs")
+    first = _by_search(filters.valid_numbers(t.notices)).select("list_id", F.col("notice_num").alias("line"))
+    again = first.filter(F.length("line") == 19).withColumn("line", F.concat(F.lit("  "), "line", F.lit("\t")))
+    for i, some in enumerate((first.filter("list_id < '3'"), again, first.filter("list_id >= '3'"))):
+        runs.write_run(some, path, RUN_AT + timedelta(hours=i))
+        if i:
+            runs.compact_runs(t.spark, path, RUN_AT + timedelta(hours=i, minutes=5))
+    return runs.read_runs(t.spark, path).select("list_id", "line")
+
+
 # Filters and predicates
 
 

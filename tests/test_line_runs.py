@@ -1,0 +1,72 @@
+"""Runs with a manifest: whole or not at all, repeated or merged without a line twice."""
+
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from noticemill.sources.runs import compact_runs, read_runs, write_run
+
+SCHEMA = "source string, list_id string, line string"
+
+
+def at(hour):
+    return datetime(2001, 8, 1, hour)
+
+
+def read(spark, path):
+    return sorted((r.source or "", r.list_id or "", r.line) for r in read_runs(spark, path).collect())
+
+
+def files_of(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(f"{path}/data") for f in names if f.endswith(".txt")}
+
+
+def test_a_repeated_run_leaves_each_line_once(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    assert read(spark, path) == []
+    lines = spark.createDataFrame([("kw", "a b/ü", "1;2"), ("kw", "a b/ü", "1;2"), ("okpd", None, "3"), ("kw", "c", None)], SCHEMA).repartition(3)
+    want = [("kw", "a b/ü", "1;2"), ("kw", "a b/ü", "1;2"), ("okpd", "", "3")]
+    for _ in range(2):
+        write_run(lines, path, at(1))
+        assert read(spark, path) == want
+    write_run(lines.limit(0), path, at(2))
+    write_run(lines.filter("list_id is null"), path, at(3))
+    assert read(spark, path) == sorted([*want, ("okpd", "", "3")])
+
+
+def test_a_run_that_dies_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    rows = spark.range(0, 400, 1, 8).selectExpr("'kw' as source", "cast(id % 3 as string) as list_id", "cast(id as string) as line")
+    fails = F.when(F.col("line") == "399", F.raise_error(F.lit("killed"))).otherwise(F.col("line"))
+    with pytest.raises(Exception, match="killed"):
+        write_run(rows.withColumn("line", fails), path, at(1))
+    assert read(spark, path) == []
+    # files of a writer that could not even clean up
+    os.makedirs(f"{path}/data/is-kw/is-0", exist_ok=True)
+    with open(f"{path}/data/is-kw/is-0/left.txt", "w") as left:
+        left.write("900\n")
+    write_run(rows, path, at(1))
+    assert len(read(spark, path)) == 400 and read(spark, path) == sorted(set(read(spark, path)))
+
+
+def test_only_lists_with_new_runs_are_merged(spark, tmp_path):
+    path = str(tmp_path / "runs")
+
+    def run(hour, rows):
+        write_run(spark.createDataFrame(rows, SCHEMA), path, at(hour))
+
+    run(1, [("kw", "a", "1"), ("kw", "b", " 2"), ("kw", "b", "2")])
+    run(2, [("kw", "a", "1\t"), ("kw", "a", "3")])
+    assert compact_runs(spark, path, at(3)) == 2
+    assert read(spark, path) == [("kw", "a", "1"), ("kw", "a", "3"), ("kw", "b", "2")]
+    merged = files_of(path)
+    assert compact_runs(spark, path, at(4)) == 0 and files_of(path) == merged
+    run(5, [("kw", "a", "4"), ("kw", "c", "5")])
+    assert compact_runs(spark, path, at(6)) == 2
+    names = {r.file for r in spark.read.json(f"{path}/manifests").filter("list_id = 'b' and size(merged) > 0").collect()}
+    assert len(names) == 1 and merged <= files_of(path)
+    assert read(spark, path) == [("kw", "a", "1"), ("kw", "a", "3"), ("kw", "a", "4"), ("kw", "b", "2"), ("kw", "c", "5")]
+    with pytest.raises(ValueError, match="merged"):
+        run(1, [("kw", "a", "9")])

@@ -19,7 +19,7 @@ def sorted_rows(columns, rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
-    assert len(QUERIES) == 61
+    assert len(QUERIES) == 63
     assert set(QUERIES) <= set(driver.queries())
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from noticemill.fixtures import Fixtures
 from noticemill.functions import text
-from noticemill.operators import codes, enrich, facets, filters, keywords, pages, registry, text_index
+from noticemill.operators import codes, enrich, facets, filters, keywords, pages, registry, registry_sketch, text_index
 from noticemill.operators.chunks import chunk_terms
 from noticemill.plans import search
 from noticemill.session import configure, new_path
@@ -325,6 +325,25 @@ def registry_null_id(t: Fixtures) -> DataFrame:
     return registry.new_numbers(t.notices, t.registry_gaps)
 
 
+def _sketched(t: Fixtures, rows: DataFrame) -> str:
+    """The registry rows landed in two portions."""
+    path = new_path(t.spark, "sketched-registry")
+    for i in range(2):
+        registry_sketch.land_registry(rows.filter(F.pmod(F.xxhash64("notificationnumber", "id_notification"), F.lit(2)) == i), path, str(i))
+    return path
+
+
+@query
+def new_nums_44_sketched(t: Fixtures) -> DataFrame:
+    numbers = filters.valid_numbers(filters.law_filter(t.notices, "44"))
+    return registry_sketch.new_numbers_by_sketch(t.spark, _sketched(t, t.registry), numbers).select("notice_num")
+
+
+@query
+def registry_null_id_sketched(t: Fixtures) -> DataFrame:
+    return registry_sketch.new_numbers_by_sketch(t.spark, _sketched(t, t.registry_gaps), t.notices)
+
+
 @query
 def known_nums(t: Fixtures) -> DataFrame:
     return registry.known_numbers(t.notices, t.registry)

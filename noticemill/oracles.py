@@ -359,6 +359,7 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 ORACLES["sink_runs"], ORACLES["compact_runs"] = ORACLES["sink_lines"], ORACLES["compact_output"]
+ORACLES["new_nums_44_sketched"], ORACLES["registry_null_id_sketched"] = ORACLES["new_nums_44"], ORACLES["registry_null_id"]
 # the index gives the rows of the scan
 ORACLES["kw_any_indexed"], ORACLES["kw_all_indexed"] = ORACLES["kw_any"], ORACLES["kw_all"]
 

@@ -13,6 +13,8 @@ equals in one place.
 
 from __future__ import annotations
 
+from collections import defaultdict
+from functools import partial
 from itertools import groupby
 
 from pyspark.sql import DataFrame
@@ -94,17 +96,25 @@ class SuffixAutomaton:
             yield size, state
 
 
-def smallest_documents(texts: list[list[bytes]], at: list[int], places: list[Place], length: int) -> list[list[Run]]:
-    """For the windows of each segment, in runs, the smallest doc_id that has them; rows and words are left 0."""
+def smallest_documents(texts: list[list[bytes]], at: list[int], places: list[Place], length: int, gram: int) -> list[list[Run]]:
+    """For the windows of each segment, in runs, the smallest doc_id that has them; rows and words are left 0.
+
+    `texts` are different segments; all windows of one have the words at its anchor in common.
+    One whose anchor no other has shares no window, so only its own document has them.
+    """
+    by_anchor: dict[tuple, list[int]] = defaultdict(list)
+    for k, (words, anchor) in enumerate(zip(texts, at)):
+        by_anchor[tuple(words[anchor : anchor + gram])].append(k)
+    shared = sorted(k for group in by_anchor.values() if len(group) > 1 for k in group)
+    out: list[list[Run]] = [[(len(words) + 1 - length, doc, 0, 0)] for words, (doc, _, _) in zip(texts, places)]
     automaton = SuffixAutomaton()
-    for words, (doc, _, _) in zip(texts, places):
-        automaton.add(words, doc)
+    for k in shared:
+        automaton.add(texts[k], places[k][0])
     automaton.finish()
     label = automaton.label
-    out = []
-    for words in texts:
-        labels = [label[state] for size, state in automaton.matches(words, length) if size >= length]
-        out.append([(sum(1 for _ in same), doc, 0, 0) for doc, same in groupby(labels)])
+    for k in shared:
+        labels = [label[state] for size, state in automaton.matches(texts[k], length) if size >= length]
+        out[k] = [(sum(1 for _ in same), doc, 0, 0) for doc, same in groupby(labels)]
     return out
 
 
@@ -118,4 +128,4 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     doc_id counts as larger than all others: its rows lose what others have, and never take
     anything from others. Rows with the same doc_id do not take from each other.
     """
-    return without_repeats(docs, window, min(gram, window), smallest_documents, within=False).drop("spans")
+    return without_repeats(docs, window, min(gram, window), partial(smallest_documents, gram=min(gram, window)), within=False).drop("spans")

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticemill.llm.common import shared_dir, written
+from noticemill.operators.skew import skew_join
 
 # Text and rows of one block; a block has at least one row.
 BLOCK_BYTES = 6 << 20
@@ -221,8 +222,12 @@ def copies(stored: DataFrame) -> DataFrame:
 
     rows = stored.select("block", "payload").mapInArrow(digests, "block long, place int, doc long, digest binary")
     rows = written(rows.hint("rebalance"), "digests")  # few short columns: few files
-    firsts = rows.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
-    return written(rows.join(firsts, "digest").filter("doc > first").select("block", "place"), "copies")
+    firsts = rows.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("_rows"))
+    firsts = written(firsts.filter("first < last"), "first-copies")
+    # one text may have very many copies: its rows are spread
+    sizes = firsts.select("digest", "_rows")
+    met = skew_join(rows, firsts.drop("_rows"), ["digest"], "inner", ["block", "place"], sizes)
+    return written(met.filter("doc > first").select("block", "place"), "copies")
 
 
 def with_blocks(stored: DataFrame, found: DataFrame, fn, schema) -> DataFrame:

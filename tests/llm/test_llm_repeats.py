@@ -131,12 +131,18 @@ def test_engines_agree_on_windows():
     rng = random.Random(5)
     texts = [[rng.choice([b"a", b"b", b"c"]) for _ in range(20)] for _ in range(12)]
     places = [(i, 0, 0) for i in range(12)]
-    one = automaton.smallest_documents(texts, [0] * 12, places, 4)
+    one = automaton.smallest_documents(texts, [0] * 12, places, 4, 0)
     two = suffixes.first_equal_windows(0)(texts, [0] * 12, places, 4)
     spread = lambda runs: [doc for n, doc, _, _ in runs for _ in range(n)]
     assert [spread(runs) for runs in one] == [spread(runs) for runs in two]
 
 
+def test_segments_without_a_common_anchor_are_apart():
+    texts = [b"a b c d e".split(), b"x b c d e".split(), b"q r s t".split()]
+    found = automaton.smallest_documents(texts, [1, 1, 2], [(5, 0, 0), (3, 0, 0), (9, 0, 0)], 3, 2)
+    assert found == [[(1, 5, 0, 0), (2, 3, 0, 0)], [(3, 3, 0, 0)], [(2, 9, 0, 0)]]
+
+
 def test_sorted_suffixes_know_their_common_prefix():
     rng = random.Random(9)
     parts = [[rng.randrange(2) for _ in range(rng.randint(0, 9))] for _ in range(60)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -70,6 +71,7 @@ def parse_cards(html: str | None) -> list[dict[str, str | None]]:
     html = html or ""
     cards: list[dict[str, str | None]] = []
     stack: list[tuple[str, str]] = []  # (tag, role) of the open elements
+    n_open: Counter[str] = Counter()  # how many of them there are of each tag
     inside = {"content": 0, "card": 0, "about": 0}
     linked: dict[str, str | None] = {}  # the card whose anchor is open
     label: list[str] | None = None  # the text of that anchor so far
@@ -80,6 +82,7 @@ def parse_cards(html: str | None) -> list[dict[str, str | None]]:
         nonlocal label
         while stack:
             name, role = stack.pop()
+            n_open[name] -= 1
             if role == "link":
                 linked["label"] = unescape("".join(label or ()))
                 label = None
@@ -96,7 +99,7 @@ def parse_cards(html: str | None) -> list[dict[str, str | None]]:
         if not tag or tag in VOID_TAGS:
             continue
         if match[1]:
-            if any(name == tag for name, _ in reversed(stack)):
+            if n_open[tag]:
                 pop_to(tag)
             continue
         role = ""
@@ -116,6 +119,7 @@ def parse_cards(html: str | None) -> list[dict[str, str | None]]:
         if role in inside:
             inside[role] += 1
         stack.append((tag, role))
+        n_open[tag] += 1
         if match[3].endswith("/"):
             pop_to(tag)
     if label is not None:

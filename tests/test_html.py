@@ -174,3 +174,14 @@ def test_unclosed_markup_takes_linear_time(spark, piece):
     start = time.perf_counter()
     extract_links(pages).count()
     assert time.perf_counter() - start < 10
+
+
+def test_unmatched_end_tags_take_linear_time():
+    def seconds(n):
+        start = time.perf_counter()
+        assert parse_cards("<b>" * n + "</p>" * n) == []
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(40_000) < 5
+    assert len(parse_cards("<b>" * 9 + "</p>" * 9 + page(card("x")) + "</i></div>" + page(card("y")))) == 2

@@ -180,36 +180,38 @@ def _dictionary_pass(lowered: DataFrame, terms: DataFrame, id_cols: list[str], d
 def lists_satisfied(found: DataFrame, clauses: DataFrame, id_col: str) -> DataFrame:
     """Distinct (list_id, id) from the terms found per id: some clause has all its terms.
 
-    Only ids and terms move. An id is tried for a clause only when it has the clause's
-    rarest term, so terms found almost everywhere do not multiply ids by lists; what is
-    tried is then checked term by term.
+    Only ids and terms move, once: the terms of an id are gathered, combined in the map
+    tasks, and written. An id is tried for a clause only when it has the clause's
+    rarest term, so terms found almost everywhere do not multiply ids by lists; for what is
+    tried the id's terms are compared with the clause's.
     """
-    found = found.join(clauses.select("term").distinct(), "term", "left_semi").select(id_col, "term").distinct()
-    found = stage(found, "found")  # read more than once below; search the texts once
-    per_clause = _with_rarest(clauses, found)
-    tried = stage(_tried(found, per_clause, id_col), "tried")
+    wanted = found.join(clauses.select("term").distinct(), "term", "left_semi")
+    per_id = stage(wanted.groupBy(id_col).agg(F.collect_set("term").alias("_found")), "found")
+    found = per_id.select(id_col, F.explode("_found").alias("term"))
+    counts = key_counts(found, ["term"])
+    per_clause = _with_rarest(clauses, counts)
+    tried = stage(_tried(found, per_clause, id_col, counts), "tried")
     single = tried.filter(F.col("_size") == 1).select("list_id", id_col)
-    wanted = _with_terms(tried, clauses, id_col).withColumn("term", F.explode("_terms")).drop("_terms")
-    complete = wanted.join(found, [id_col, "term"], "left_semi")
-    return single.unionByName(_complete(complete, id_col)).distinct()
+    several = _with_terms(tried, clauses, id_col).join(per_id, id_col)
+    complete = several.filter(F.size(F.array_except("_terms", "_found")) == 0).select("list_id", id_col)
+    return single.unionByName(complete).distinct()
 
 
-def _with_rarest(clauses: DataFrame, found: DataFrame) -> DataFrame:
+def _with_rarest(clauses: DataFrame, counts: DataFrame) -> DataFrame:
     """(list_id, clause, term, _size): the term that fewest ids have, and how many terms there are."""
-    frequency = found.groupBy("term").agg(F.count(F.lit(1)).alias("_ids"))
-    rarity = F.struct(F.coalesce("_ids", F.lit(0)), F.col("term").alias("term"))
-    per_clause = clauses.join(frequency, "term", "left").groupBy("list_id", "clause")
+    rarity = F.struct(F.coalesce("_rows", F.lit(0)), F.col("term").alias("term"))
+    per_clause = clauses.join(counts, "term", "left").groupBy("list_id", "clause")
     return per_clause.agg(F.min(rarity).getField("term").alias("term"), F.count(F.lit(1)).alias("_size"))
 
 
-def _tried(found: DataFrame, per_clause: DataFrame, id_col: str) -> DataFrame:
+def _tried(found: DataFrame, per_clause: DataFrame, id_col: str, counts: DataFrame) -> DataFrame:
     """(list_id, clause, _size, id) of the ids that have a clause's rarest term.
 
     A rarest term may still be that of very many ids: such terms are spread. Their clauses
     are gathered in one row per term, as the spreading join needs.
     """
     per_term = per_clause.groupBy("term").agg(F.collect_list(F.struct("list_id", "clause", "_size")).alias("_clauses"))
-    joined = skew_join(found, per_term, ["term"], "inner", [id_col], key_counts(found, ["term"]))
+    joined = skew_join(found, per_term, ["term"], "inner", [id_col], counts)
     return joined.select(id_col, F.inline("_clauses"))
 
 
@@ -223,12 +225,6 @@ def _with_terms(tried: DataFrame, clauses: DataFrame, id_col: str) -> DataFrame:
     return skew_join(wanted, terms, ["list_id", "clause"], "inner", [id_col])
 
 
-def _complete(wanted: DataFrame, id_col: str) -> DataFrame:
-    """(list_id, id) of the clauses that have as many different terms as they need."""
-    counted = wanted.groupBy("list_id", "clause", id_col, "_size").agg(F.count(F.lit(1)).alias("_found"))
-    return counted.filter(F.col("_found") == F.col("_size")).select("list_id", id_col)
-
-
 def attachment_matches(
     notice_texts: DataFrame, attachments: DataFrame, clauses: DataFrame, id_col: str, text_col: str = "text"
 ) -> DataFrame:
@@ -244,19 +240,9 @@ def attachment_matches(
 def token_matches(texts: DataFrame, clauses: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """Distinct (list_id, id) by whole tokens in place of containment: for very many terms.
 
-    A term that is no single token matches nothing. The texts are read three times: to
-    count the texts of each term, to find the ids that have some clause's rarest term, and,
-    for these ids alone, to look for the other terms. No found term but the rarest ones moves.
+    A term that is no single token matches nothing. The texts are read once; of their
+    tokens only those that are terms move, each once per text, whole texts never. Where
+    Spark can't broadcast the terms, the distinct tokens of each text move to meet them.
     """
     tokens = F.array_distinct(F.split(F.lower(text_col), TOKEN_BREAK))
-    by_text = texts.select(id_col, tokens.alias("_tokens"))
-    found = by_text.select(id_col, F.explode("_tokens").alias("term"))
-    per_clause = stage(_with_rarest(clauses, found.join(clauses.select("term").distinct(), "term", "left_semi")), "rarest")
-    rare = found.join(per_clause.select("term").distinct(), "term", "left_semi").distinct()
-    tried = stage(_tried(stage(rare, "rare"), per_clause, id_col), "tried")
-    single = tried.filter(F.col("_size") == 1).select("list_id", id_col)
-    wanted = _with_terms(tried, clauses, id_col)
-    near = by_text.join(wanted.select(id_col).distinct(), id_col, "left_semi")
-    met = near.join(wanted, id_col)
-    met = met.select("list_id", "clause", "_size", id_col, F.explode(F.array_intersect("_tokens", "_terms")).alias("term"))
-    return single.unionByName(_complete(met.distinct(), id_col)).distinct()
+    return lists_satisfied(texts.select(id_col, F.explode(tokens).alias("term")), clauses, id_col)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +14,8 @@ from noticemill.sources.lists import BINARY_FILE_SCHEMA, list_id_from_path, read
 # the names of files of that age on the driver, so a folder that is never emptied and takes
 # in very many files wants a shorter age.
 MAX_FILE_AGE = "3650d"
+# How Spark writes ages; a bare number is in milliseconds.
+AGE_UNITS = {"": "milliseconds", "us": "microseconds", "ms": "milliseconds", "s": "seconds", "m": "minutes", "min": "minutes", "h": "hours", "d": "days"}
 
 
 def stream_lists(
@@ -59,5 +63,6 @@ def overlooked_files(spark: SparkSession, folder: str, max_file_age: str = MAX_F
         .select("path", "modificationTime")
     )
     newest = files.agg(F.max("modificationTime").alias("t")).scalar()
-    age = F.expr(f"interval {int(max_file_age.removesuffix('d'))} days")
+    number, unit = re.fullmatch(r"(\d+)\s*([a-z]*)", max_file_age.strip().lower()).groups()
+    age = F.expr(f"interval {number} {AGE_UNITS[unit]}")
     return files.filter(F.col("modificationTime") < newest - age)

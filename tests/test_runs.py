@@ -248,4 +248,4 @@ def test_overlooked_files_are_listed(spark, tmp_path):
         (tmp_path / name).write_bytes(b"x")
         os.utime(tmp_path / name, (time.time() - days * 86400,) * 2)
     named = lambda age: [r.path.rsplit("/", 1)[1] for r in overlooked_files(spark, str(tmp_path), age).collect()]
-    assert named("7d") == ["old.txt"] and named("30d") == []
+    assert named("7d") == named("36h") == named(" 90 min") == ["old.txt"] and named("30d") == named("900h") == []

@@ -12,7 +12,7 @@ from noticemill.fixtures import Fixtures
 from noticemill.functions import text
 from noticemill.operators import codes, enrich, facets, filters, keywords, pages, registry, registry_sketch, text_index
 from noticemill.operators.chunks import chunk_terms
-from noticemill.plans import search
+from noticemill.plans import counted, search
 from noticemill.session import configure, new_path
 from noticemill.sources import html, lines, lists, runs
 from noticemill.sources import registry as registry_source
@@ -366,6 +366,15 @@ def facet_resolve(t: Fixtures) -> DataFrame:
     return facets.facet_resolve(_facet_labels(t), WANTED_FACETS)
 
 
+@query
+def facet_resolve_joined(t: Fixtures) -> DataFrame:
+    """Each customer's name within part of its region, and suppliers' names, which no label has."""
+    labels = _facet_labels(t)
+    customers = labels.select(F.substring("facet", 2, 3).alias("facet"), F.expr("right(option, 6)").alias("option"))
+    wanted = customers.unionByName(t.supplier.select(F.lit("asia").alias("facet"), F.col("s_name").alias("option")))
+    return facets.facet_resolve_joined(labels, wanted)
+
+
 # Windows, dedupe, aggregation, set operations
 
 
@@ -435,6 +444,13 @@ def run_report(t: Fixtures) -> DataFrame:
     return registry.run_report(_by_search(filters.valid_numbers(t.notices)), t.registry)
 
 
+@query
+def counted_run(t: Fixtures) -> DataFrame:
+    """Lists by number among four workers."""
+    worker = F.pmod(F.col("list_id").cast("bigint"), F.lit(4))
+    return counted.counted_run(_by_search(filters.valid_numbers(t.notices)), t.registry, new_path(t.spark, "runs"), RUN_AT, worker, 4)
+
+
 @query
 def union_results(t: Fixtures) -> DataFrame:
     by_words = filters.published_window(t.notices, AS_OF, 365)

@@ -242,6 +242,13 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {
         group by w.facet, w.option""",
         (),
     ),
+    "facet_resolve_joined": (
+        f"""select w.facet, w.option, count(f.facet) as n_matched from (select substring(facet, 2, 3) as facet, right(option, 6) as option
+        from ({FACETS}) union select 'asia', s_name from supplier) w
+        left join ({FACETS}) f on contains(lower(f.facet), lower(w.facet)) and contains(lower(f.option), lower(w.option))
+        group by w.facet, w.option""",
+        (),
+    ),
     "chunk_terms": (
         f"""select list_id, pos, term, cast(ntile(4) over (partition by list_id order by pos) as int) as chunk
         from (select list_id, pos, {STRIPPED} as term from lists where {STRIPPED} <> ''
@@ -281,6 +288,12 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {
         from notices n where {VALID} group by search_id, law""",
         ("notices", "registry"),
     ),
+    "counted_run": (
+        f"""select cast(w as int) as worker, count(n.notice_num) as found_rows, count(distinct (search_id, law, notice_num))
+         filter (n.notice_num is not null) as found_distinct, count(distinct (search_id, law, notice_num)) filter (n.notice_num is not null and {UNKNOWN}) as new_distinct
+        from range(4) r(w) left join (select * from notices n where {VALID}) n on n.search_id % 4 = w group by w""",
+        ("notices", "registry"),
+    ),
     "union_results": (
         """select 'kw' as source, notice_id, notice_num from notices
         where published_on between date '2001-08-01' - 365 and date '2001-08-01'

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from datetime import datetime
 from urllib.parse import quote
@@ -107,29 +107,32 @@ def manifests(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST).json(f"{path}/manifests")
 
 
-def _write(lines: DataFrame, path: str, run_ts: str, version: int, merged: list[str]) -> None:
+def _write(
+    lines: DataFrame, path: str, run_ts: str, version: int, merged: list[str], measured: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> None:
     spark = lines.sparkSession
     spark.dataSource.register(LinesSource)
     source = F.col("source") if "source" in lines.columns else F.lit(None).cast("string")
     rows = lines.select(source.alias("source"), F.col("list_id").cast("string"), F.col("line").cast("string"))
     rows = rows.dropna(subset=["line"]).hint("rebalance", "source", "list_id").sortWithinPartitions("source", "list_id")
     options = {"path": path, "run_ts": run_ts, "version": str(version), "merged": json.dumps(merged)}
-    rows.write.format(FORMAT).options(**options).mode("append").save()
+    measured(rows).write.format(FORMAT).options(**options).mode("append").save()
 
 
-def write_run(lines: DataFrame, path: str, run_at: datetime) -> None:
+def write_run(lines: DataFrame, path: str, run_at: datetime, measured: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
     """Add the lines (source if there is one, list_id, line) of a run as a whole.
 
     A run repeated with the same `run_at` replaces what it wrote before. Once it has been
     merged by `compact_runs` it can't be repeated, which raises ValueError. Null lines are
     left out; a run without lines is an empty manifest. `path` must be a folder that all
-    executors share; runs of one `path` come one after the other.
+    executors share; runs of one `path` come one after the other. `measured` may observe
+    the rows (source, list_id, line) as they are written.
     """
     spark, run_ts = lines.sparkSession, run_at.strftime(RUN_TS_FORMAT)
     known = manifests(spark, path)
     if not known.filter(F.array_contains("merged", run_ts)).isEmpty():
         raise ValueError(f"run {run_ts} has been merged")
-    _write(lines, path, run_ts, _next_version(known), [])
+    _write(lines, path, run_ts, _next_version(known), [], measured)
 
 
 def _next_version(known: DataFrame) -> int:

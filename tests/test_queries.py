@@ -19,7 +19,7 @@ def sorted_rows(columns, rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
-    assert len(QUERIES) == 65
+    assert len(QUERIES) == 67
     assert set(QUERIES) <= set(driver.queries())
 
 

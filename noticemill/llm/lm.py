@@ -2,14 +2,19 @@
 
 The filter holds no counts, only pairs (bigram, level): a bigram seen c times is stored at
 the levels 1 to q(c), where q grows with the logarithm of c. A reader probes level after
-level until one is missing and takes the smallest count of the last level found. The
-probability of a word is an interpolation of that count with the word's own frequency.
+level until one is missing and takes the mean count of the bigrams whose last level that is.
+The probability of a word interpolates that count with the word's own frequency, weighted
+as by Witten and Bell: c / (c + t) for a history seen c times with t different successors.
+The t of single histories are not gathered; t is taken as c ** b, with the one b at which
+all t add up to the number of different bigrams, which the filter's tasks count. A history
+that training does not hold has weight 0, so the word's own frequency is all there is.
 
 Documents are cut into blocks with a vocabulary of their own, so that the exact count of a
 word reaches a block once, not once per token; the counts of all blocks meet in one shuffle
 of (word, block) rows. The filter's segments are built by the tasks that own a range of
-bigram hashes. The filter grows with the corpus: slices of at most `max_filter_bytes` are
-broadcast one after the other, each token is scored by the slice that owns its bigram.
+bigram hashes, which write them to the shared folder. The filter grows with the corpus:
+tasks load slices of about `max_filter_bytes` from there, one pass after the other, and each
+token is scored by the slice that owns its bigram. No part of it passes through the driver.
 """
 
 from __future__ import annotations
@@ -24,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticemill.llm.common import written
+from noticemill.llm.common import work_path, written
 from noticemill.llm.hashing import MULTIPLIER, WordHashes, mixed, word_hash
+from noticemill.session import file_system
 
 FOLDS, HELD_OUT = 7, 2
 # Text of one block, in bytes; a block has at least one document.
@@ -33,16 +39,13 @@ BLOCK_BYTES = 6 << 20
 # Bigrams that a task gathers before it hands them on, and that one segment is made from.
 GATHERED = 2_000_000
 SEGMENT_BIGRAMS = 2_000_000
-# Counts from which the model's filter stores bigrams: all that training holds.
-STORED_FROM = 1
-# The same for a filter made without saying from where.
-LEAST_COUNT = 2
-# Levels begin at the least stored count times the powers of this base.
+# A bigram is stored at as many levels as there are powers of this base up to its count.
 LEVEL_BASE = 2.0
+MAX_LEVELS = 64
 BITS_PER_ENTRY, PROBES = 12, 6
 MAX_FILTER_BYTES = 128 << 20
-# Weight of the bigram estimate.
-BIGRAM_WEIGHT = 0.15
+# Exponents at which the successors of all histories are added up, for the one between.
+EXPONENTS = [i / 32 for i in range(33)]
 END = b""
 LOW_40 = np.uint64((1 << 40) - 1)
 
@@ -69,20 +72,15 @@ def _seed_and_step(low: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]
     return seed & np.uint64(0xFFFFFFFF), (seed >> np.uint64(32)) | np.uint64(1)
 
 
-def levels_of(counts: np.ndarray, least: int = LEAST_COUNT) -> np.ndarray:
-    """How many levels a count is stored at; 0 below `least`."""
-    scaled = np.maximum(counts, 1) / least
-    return np.where(counts >= least, 1 + np.floor(np.log(np.maximum(scaled, 1)) / math.log(LEVEL_BASE) + 1e-9), 0).astype(np.int64)
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """How many levels a count is stored at: one for 1, two from 2 on, three from 4 on; 0 for 0."""
+    logs = np.log(np.maximum(counts, 1)) / math.log(LEVEL_BASE)
+    return np.where(counts > 0, np.minimum(1 + np.floor(logs + 1e-9), MAX_LEVELS), 0).astype(np.int64)
 
 
-def count_of(levels: np.ndarray, least: int = LEAST_COUNT) -> np.ndarray:
-    """The smallest count that is stored at so many levels."""
-    return np.where(levels > 0, np.ceil(least * LEVEL_BASE ** (levels - 1.0)), 0.0)
-
-
-def filter_segment(low: np.ndarray, counts: np.ndarray, least: int = LEAST_COUNT) -> tuple[int, bytes]:
+def filter_segment(low: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
     """Bits of a segment for bigrams (40 bits of their hashes) with their counts."""
-    levels = levels_of(counts, least)
+    levels = levels_of(counts)
     n_bits = max(64, BITS_PER_ENTRY * int(levels.sum()) | 1)
     bits = np.zeros(n_bits, bool)
     size = np.uint64(n_bits)
@@ -96,22 +94,22 @@ def filter_segment(low: np.ndarray, counts: np.ndarray, least: int = LEAST_COUNT
 class CountFilter:
     """Segments [first, first + k) of a filter of `segments` in all, for probing."""
 
-    def __init__(self, segments: int, first: int, parts: list[tuple[int, bytes]], least: int = LEAST_COUNT):
-        self.segments, self.first, self.least = segments, first, least
+    def __init__(self, segments: int, first: int, parts: list[tuple[int, bytes]]):
+        self.segments, self.first = segments, first
         self.n_bits = np.array([max(n, 1) for n, _ in parts], np.uint64)
         sizes = np.array([len(raw) for _, raw in parts], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         self.raw = b"".join(raw for _, raw in parts)
 
-    def counts(self, hashes: np.ndarray, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes belong to these segments, and the counts found for them (else 0).
+    def levels(self, hashes: np.ndarray, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes belong to these segments, and the levels found for them (else 0).
 
         `seen`: how often each is known to be stored at least; those levels are not probed.
         """
         segment = segment_of(hashes, self.segments) - self.first
         mine = (segment >= 0) & (segment < len(self.n_bits))
         waiting = np.flatnonzero(mine)
-        levels = np.zeros(len(hashes), np.int64) if seen is None else np.where(mine, levels_of(seen, self.least), 0)
+        levels = np.zeros(len(hashes), np.int64) if seen is None else np.where(mine, levels_of(seen), 0)
         raw = np.frombuffer(self.raw, np.uint8)
         level = 1
         while len(waiting):
@@ -130,7 +128,72 @@ class CountFilter:
             levels[places] = level
             waiting = np.concatenate([waiting, places])
             level += 1
-        return mine, count_of(levels, self.least)
+        return mine, levels
+
+
+@dataclass
+class StoredFilter:
+    """A filter in the shared folder, a folder for each segment, and what its tasks counted."""
+
+    path: str
+    segments: int
+    slice_segments: int
+    bigrams: int
+    # mean count of the bigrams that end at level 0, 1, 2 …
+    means: np.ndarray
+
+    def slices(self) -> list[tuple[int, int]]:
+        step = self.slice_segments
+        return [(a, min(a + step, self.segments)) for a in range(0, self.segments, step)]
+
+
+# The slice a worker has loaded last: (path, first, last) and its filter.
+_loaded: dict[tuple[str, int, int], CountFilter] = {}
+
+
+def loaded_slice(path: str, segments: int, first: int, last: int) -> CountFilter:
+    """Segments first to last - 1 from the shared folder; a segment without bigrams has no folder."""
+    import pyarrow.dataset as ds
+    from pyarrow import fs
+
+    if (path, first, last) not in _loaded:
+        _loaded.clear()
+        folder, root = file_system(path)
+        parts = []
+        for k in range(first, last):
+            part = (64, bytes(8))
+            if folder.get_file_info(f"{root}/segment={k}").type == fs.FileType.Directory:
+                stored = ds.dataset(f"{root}/segment={k}", filesystem=folder, format="parquet").to_table(columns=["n_bits", "bits"])
+                part = (stored.column("n_bits")[0].as_py(), stored.column("bits")[0].as_py())
+            parts.append(part)
+        _loaded[path, first, last] = CountFilter(segments, first, parts)
+    return _loaded[path, first, last]
+
+
+def history_weights(totals: np.ndarray, exponent: float) -> np.ndarray:
+    """Weight of the bigram estimate after histories seen so often: c / (c + c ** exponent), 0 for c = 0."""
+    c = totals.astype(np.float64)
+    return np.where(c > 0, c / np.maximum(c + c**exponent, 1), 0.0)
+
+
+def interpolated(counts: np.ndarray, totals: np.ndarray, unigram: np.ndarray, exponent: float) -> np.ndarray:
+    """Probability of words after histories seen `totals` times, `counts` times with the word next.
+
+    Over all words it adds up to one if the counts do to their history's total.
+    """
+    weight = history_weights(totals, exponent)
+    return weight * counts / np.maximum(totals, 1) + (1 - weight) * unigram
+
+
+def successor_exponent(sums: list[float], bigrams: int) -> float:
+    """Where the sum of c ** b over all histories, given at `EXPONENTS`, is the number of bigrams.
+
+    Taken in a straight line between the logarithms of two neighbouring sums; without
+    training tokens, or with one word only, any will do and it is 1.
+    """
+    if not bigrams or sums[0] <= 0 or sums[-1] <= sums[0]:
+        return 1.0
+    return float(np.interp(math.log(bigrams), np.log(sums), EXPONENTS))
 
 
 @dataclass
@@ -141,6 +204,8 @@ class Corpus:
     words: DataFrame
     train_tokens: int
     train_words: int
+    # sums of c ** b over the words seen c times, for b of EXPONENTS
+    power_sums: list[float]
 
 
 BLOCK_SCHEMA = "block long, row int, doc_id long, held_out boolean, codes binary, word binary, code int, n long"
@@ -212,17 +277,19 @@ def read_corpus(docs: DataFrame) -> Corpus:
         "code",
         "word",
         F.sum("n").over(same_word).alias("total"),
-        F.col("n"),
         (F.col("block") == F.min("block").over(same_word)).alias("first"),
     )
     words = written(counted, "lm-words")
-    sums = words.agg(F.sum("n").alias("n"), F.count(F.when(F.col("first") & (F.col("total") > 0), 1)).alias("v")).first()
+    # how many words training holds so often: few rows
+    often = words.filter(F.col("first") & (F.col("total") > 0)).groupBy("total").agg(F.count(F.lit(1)).alias("n"))
+    powers = [F.sum(F.pow(F.col("total").cast("double"), F.lit(b)) * F.col("n")) for b in EXPONENTS]
+    n_tokens, n_words, *power_sums = often.agg(F.sum(F.col("total") * F.col("n")), F.sum("n"), *powers).first()
     docs_only = staged.filter(F.col("codes").isNotNull()).select("block", "row", "doc_id", "held_out", "codes")
-    return Corpus(docs_only, words.select("block", "code", "word", "total"), sums.n or 0, sums.v or 0)
+    return Corpus(docs_only, words.select("block", "code", "word", "total"), n_tokens or 0, n_words or 0, [x or 0.0 for x in power_sums])
 
 
-def count_filter(docs: DataFrame, train_tokens: int) -> tuple[DataFrame, int]:
-    """The filter's segments (segment, n_bits, bits) over training documents, and their number."""
+def count_filter(docs: DataFrame, train_tokens: int, max_filter_bytes: int = MAX_FILTER_BYTES) -> StoredFilter:
+    """The filter over training documents, written segment by segment."""
     segments = max(1, -(-train_tokens // SEGMENT_BIGRAMS))
     names = ["segment", "low", "n"]
 
@@ -268,42 +335,44 @@ def count_filter(docs: DataFrame, train_tokens: int) -> tuple[DataFrame, int]:
         order = np.argsort(low, kind="stable")
         low, n = low[order], n[order]
         starts = np.flatnonzero(np.diff(low, prepend=low[:1] ^ np.uint64(1)))
-        n_bits, bits = filter_segment(low[starts], np.add.reduceat(n, starts), STORED_FROM)
-        return pa.table(
-            {
-                "segment": pa.array([group.column("segment")[0].as_py()], pa.int64()),
-                "n_bits": pa.array([n_bits], pa.int64()),
-                "bits": pa.array([bits], pa.binary()),
-            }
+        counts = np.add.reduceat(n, starts)
+        n_bits, bits = filter_segment(low[starts], counts)
+        levels = levels_of(counts)
+        row = (
+            group.column("segment")[0].as_py(),
+            n_bits,
+            bits,
+            np.bincount(levels, minlength=MAX_LEVELS + 1).tolist(),
+            np.bincount(levels, weights=counts, minlength=MAX_LEVELS + 1).tolist(),
         )
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()))
+        return pa.table([pa.array([c], t) for c, t in zip(row, types)], names=["segment", "n_bits", "bits", "n_at", "sum_at"])
 
+    spark = docs.sparkSession
+    path, schema = work_path(spark, "lm-filter"), "n_bits long, bits binary, n_at array<long>, sum_at array<double>"
     gathered = docs.filter(~F.col("held_out")).select("text").mapInArrow(gather, "segment long, low binary, n binary")
-    built = gathered.groupBy("segment").applyInArrow(build, "segment long, n_bits long, bits binary")
-    return written(built, "lm-filter"), segments
-
-
-def _slices(stored: DataFrame, segments: int, max_bytes: int) -> Iterator[tuple[int, int]]:
-    """Ranges of segments whose bits fit into `max_bytes` together (or are one segment)."""
-    sizes = {r.segment: r.n_bits // 8 + 1 for r in stored.select("segment", "n_bits").toLocalIterator()}
-    first = size = 0
-    for k in range(segments):
-        if size and size + sizes.get(k, 0) > max_bytes:
-            yield first, k
-            first, size = k, 0
-        size += sizes.get(k, 0)
-    yield first, segments
+    built = gathered.groupBy("segment").applyInArrow(build, f"segment long, {schema}")
+    built.write.partitionBy("segment").parquet(path)
+    levels = range(MAX_LEVELS + 1)
+    found = spark.read.schema(f"{schema}, segment long").parquet(path).agg(
+        F.max("n_bits").alias("largest"),
+        F.array(*(F.sum(F.col("n_at")[i]) for i in levels)).alias("n_at"),
+        F.array(*(F.sum(F.col("sum_at")[i]) for i in levels)).alias("sum_at"),
+    ).first()
+    n_at, sum_at = (np.array([x or 0 for x in column], np.float64) for column in (found.n_at, found.sum_at))
+    slice_segments = max(1, max_filter_bytes // ((found.largest or 64) // 8 + 1))
+    # a level found by mistake above all stored ones counts as the last of these
+    means = np.maximum.accumulate(np.where(n_at > 0, sum_at / np.maximum(n_at, 1), 0.0))
+    return StoredFilter(path, segments, slice_segments, int(n_at.sum()), means)
 
 
 SCORE_SCHEMA = "block long, row int, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
-def _score_blocks(corpus: Corpus, stored: DataFrame, segments: int, first: int, last: int, weight: float) -> DataFrame:
+def _score_blocks(corpus: Corpus, stored: StoredFilter, first: int, last: int) -> DataFrame:
     """Per document the sums over those tokens whose bigrams lie in segments first to last - 1."""
-    spark = stored.sparkSession
-    rows = {r.segment: (r.n_bits, bytes(r.bits)) for r in stored.filter(F.col("segment").between(first, last - 1)).toLocalIterator()}
-    held = spark.sparkContext.broadcast(
-        CountFilter(segments, first, [rows.get(k, (64, bytes(8))) for k in range(first, last)], STORED_FROM)
-    )
+    path, segments, means = stored.path, stored.segments, stored.means
+    exponent = successor_exponent(corpus.power_sums, stored.bigrams)
     n_all, v_all = corpus.train_tokens, corpus.train_words
     whole = first == 0
 
@@ -331,10 +400,10 @@ def _score_blocks(corpus: Corpus, stored: DataFrame, segments: int, first: int,
         a, b = pairs // size, pairs % size
         learnt = np.repeat(~docs.column("held_out").to_numpy(), lengths)
         seen = np.bincount(where[learnt], minlength=len(pairs))
-        mine, counts = held.value.counts(bigram_hashes(hashes[a], hashes[b]), seen)
+        mine, levels = loaded_slice(path, segments, first, last).levels(bigram_hashes(hashes[a], hashes[b]), seen)
         # a bigram is never seen more often than its words
-        counts = np.minimum(counts, np.minimum(total[a], total[b]))
-        estimate = weight * counts / np.maximum(total[a], 1) + (1 - weight) * unigram[b]
+        counts = np.minimum(means[levels], np.minimum(total[a], total[b]))
+        estimate = interpolated(counts, total[a], unigram[b], exponent)
         logs = np.where(mine, np.log10(estimate), 0.0)
         summed = np.add.reduceat(logs[where], starts)
         base = np.add.reduceat(by_code[all_codes], starts) if whole else np.zeros(len(texts))
@@ -355,7 +424,7 @@ def _score_blocks(corpus: Corpus, stored: DataFrame, segments: int, first: int,
     return corpus.blocks.groupBy("block").cogroup(corpus.words.groupBy("block")).applyInArrow(score, SCORE_SCHEMA)
 
 
-def score(docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES, weight: float = BIGRAM_WEIGHT) -> DataFrame:
+def score(docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """Scores of all rows of `docs` by a model learnt from those whose fold is not held out.
 
     doc_id, held_out, n_tokens, n_known (tokens seen in training), train_tokens,
@@ -365,9 +434,8 @@ def score(docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES, weight: flo
     """
     rows = with_fold(docs)
     corpus = read_corpus(rows)
-    stored, segments = count_filter(rows, corpus.train_tokens)
-    slices = list(_slices(stored, segments, max_filter_bytes))
-    parts = [_score_blocks(corpus, stored, segments, a, b, weight) for a, b in slices]
+    stored = count_filter(rows, corpus.train_tokens, max_filter_bytes)
+    parts = [_score_blocks(corpus, stored, a, b) for a, b in stored.slices()]
     scored = parts[0]
     if len(parts) > 1:
         scored = reduce(DataFrame.unionByName, parts).groupBy("block", "row").agg(

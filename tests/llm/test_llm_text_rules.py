@@ -307,35 +307,101 @@ def test_language_model_query(spark):
         assert r.score > r.base
 
 
+def scores_of(df, fields):
+    return sorted(((*(r[f] for f in fields), round(r.score, 7)) for r in df.collect()), key=repr)
+
+
+def test_slices_and_blocks_change_no_score(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    monkeypatch.setattr(lm, "SEGMENT_BIGRAMS", 5000)
+    whole = scores_of(lm.score(docs), ("doc_id",))
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 50_000)
+    rows = lm.with_fold(docs)
+    stored = lm.count_filter(rows, lm.read_corpus(rows).train_tokens, 20_000)
+    assert len(stored.slices()) > 2
+    assert scores_of(lm.score(docs, max_filter_bytes=20_000), ("doc_id",)) == whole
+
+
+def test_held_out_texts_are_foretold_better(spark):
+    """By far more than by words alone, and by more than with one weight for all histories."""
+    got = lm.score(spark.read.parquet(f"{SMALL}/documents.parquet")).filter("held_out")
+    a_token = got.agg(F.sum("base_score") / F.sum("n_tokens"), F.sum("score") / F.sum("n_tokens")).first()
+    assert a_token[1] > a_token[0] + 0.2
+
+
+def test_probabilities_add_up_to_one():
+    rng = np.random.default_rng(9)
+    text = rng.integers(0, 30, 2000) ** 2 // 30
+    text = np.append(text, text[0])  # every token is a history, and follows one
+    v = 31  # one word that training does not hold
+    counts = np.zeros((v, v))
+    np.add.at(counts, (text[:-1], text[1:]), 1)
+    totals = counts.sum(1)
+    unigram = (totals + 1) / (totals.sum() + (totals > 0).sum() + 1)
+    unknown = (totals == 0).sum()
+    unigram[totals == 0] /= unknown
+    sums = [float((totals[totals > 0] ** b).sum()) for b in lm.EXPONENTS]
+    bigrams = int((counts > 0).sum())
+    exponent = lm.successor_exponent(sums, bigrams)
+    assert math.isclose((totals[totals > 0] ** exponent).sum(), bigrams, rel_tol=1e-3)
+    for h in range(v):
+        p = lm.interpolated(counts[h], np.full(v, totals[h]), unigram, exponent)
+        assert math.isclose(p.sum(), 1) and (p > 0).all()
+        assert totals[h] or (p == unigram).all()
+
+
+def test_exponent_without_training_or_variety():
+    assert lm.successor_exponent([0.0] * len(lm.EXPONENTS), 0) == 1.0
+    assert lm.successor_exponent([5.0] * len(lm.EXPONENTS), 5) == 1.0
+    assert (lm.history_weights(np.array([0, 1, 100]), 1.0) == [0, 0.5, 0.5]).all()
+
+
 def test_language_model_edge_documents(spark, monkeypatch):
     docs = edge_documents(spark)
+    monkeypatch.setattr(lm, "SEGMENT_BIGRAMS", 500)
     whole = lm.score(docs)
     assert scored(whole) == brute_base(rows_of(docs))
-    monkeypatch.setattr(lm, "SEGMENT_BIGRAMS", 500)
     monkeypatch.setattr(lm, "BLOCK_BYTES", 2000)
     sliced = lm.score(docs, max_filter_bytes=100)
     assert scored(sliced) == brute_base(rows_of(docs))
+    fields = ("doc_id", "n_tokens", "held_out")
+    assert scores_of(sliced, fields) == scores_of(whole, fields)
     assert lm.score(empty(spark)).collect() == []
 
 
-def test_filter_gives_the_least_count_of_a_level():
+def level_of(counts):
+    return np.where(counts > 0, 1 + np.floor(np.log2(np.maximum(counts, 1))), 0)
+
+
+def test_filter_gives_the_level_of_a_count():
     rng = np.random.default_rng(4)
     hashes = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2))
     counts = np.maximum(1, (rng.pareto(0.7, len(hashes))).astype(np.int64))
     segments = 7
     owner = lm.segment_of(hashes, segments)
     parts = [lm.filter_segment(hashes[owner == s] & lm.LOW_40, counts[owner == s]) for s in range(segments)]
-    mine, found = lm.CountFilter(segments, 0, parts).counts(hashes)
+    mine, found = lm.CountFilter(segments, 0, parts).levels(hashes)
     assert mine.all()
-    assert (found >= np.where(counts >= 2, 2.0 ** np.floor(np.log2(np.maximum(counts, 2))), 0)).all()
-    exact = found == np.where(counts >= 2, 2.0 ** np.floor(np.log2(np.maximum(counts, 2))), 0)
-    assert exact.mean() > 0.97
+    assert (found >= level_of(counts)).all()
+    assert (found == level_of(counts)).mean() > 0.97
     unseen = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
-    assert (lm.CountFilter(segments, 0, parts).counts(unseen)[1] > 0).mean() < 0.03
+    assert (lm.CountFilter(segments, 0, parts).levels(unseen)[1] > 0).mean() < 0.03
     part = lm.CountFilter(segments, 2, parts[2:5])
-    mine, found_part = part.counts(hashes)
+    mine, found_part = part.levels(hashes)
     assert (mine == ((owner >= 2) & (owner < 5))).all()
     assert (found_part[mine] == found[mine]).all()
+    seen = rng.integers(0, counts + 1)
+    assert (lm.CountFilter(segments, 0, parts).levels(hashes, seen)[1] == found).all()
+
+
+def test_a_level_counts_as_its_mean(spark):
+    """`a b` three times, `b c` twice, seven times `d e`: levels 2, 2 and 3."""
+    text = "a b x a b y a b z b c v b c w " + " ".join(f"d e q{i}" for i in range(7))
+    docs = spark.createDataFrame([(1, text, False)], "doc_id bigint, text string, held_out boolean")
+    stored = lm.count_filter(docs, 60)
+    assert stored.means[0] == 0 and stored.means[1] == 1
+    assert math.isclose(stored.means[2], 2.5) and stored.means[3:].tolist() == [7.0] * 62
+    assert stored.bigrams == len({*zip(["", *text.split()], [*text.split(), ""])})
 
 
 def test_bigrams_that_training_holds_once_count(spark):
@@ -351,25 +417,12 @@ def test_bigrams_that_training_holds_once_count(spark):
     # all 41 bigrams stand once in training, each of its words too
     count = Counter(words)
     assert max(count.values()) == 1
-    estimate = lm.BIGRAM_WEIGHT + (1 - lm.BIGRAM_WEIGHT) * 2 / (41 + 41 + 1)
+    # a history seen once weighs 1 / (1 + 1) whatever the exponent
+    estimate = 0.5 + 0.5 * 2 / (41 + 41 + 1)
     assert math.isclose(shared.score, 41 * math.log10(estimate))
     assert shared.score > other.score + 20
 
 
-def test_filter_from_one_on_holds_every_bigram():
-    rng = np.random.default_rng(8)
-    hashes = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2))
-    counts = np.maximum(1, (rng.pareto(0.7, len(hashes))).astype(np.int64))
-    kept = lm.CountFilter(1, 0, [lm.filter_segment(hashes & lm.LOW_40, counts, 1)], 1)
-    found = kept.counts(hashes)[1]
-    least = 2.0 ** np.floor(np.log2(counts))
-    assert (found >= least).all() and (found == least).mean() > 0.97
-    seen = rng.integers(0, counts + 1)
-    assert (kept.counts(hashes, seen)[1] == found).all()
-    unseen = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
-    assert (kept.counts(unseen)[1] > 0).mean() < 0.03
-
-
 def test_digest_of_items_is_that_of_their_names(spark):
     empty_digest = hashlib.sha256(b"").hexdigest()
     got = queries()["op5_decontamination"](spark, SMALL)

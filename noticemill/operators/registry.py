@@ -34,7 +34,7 @@ def known_keys(registry: DataFrame, numbers: DataFrame, law: str) -> DataFrame:
 
 
 def _compare(numbers: DataFrame, registry: DataFrame, law: str | None, how: str) -> DataFrame:
-    """Distinct (law, notice_num) against the registry: both sides are unique, so there is no hot key."""
+    """Distinct (law, notice_num), written, against the registry: both sides are unique, so there is no hot key."""
     parts = []
     for one in LAWS if check_law(law) is None else (law,):
         of_law = numbers.filter(F.col("law") == one).select("notice_num")
@@ -43,14 +43,19 @@ def _compare(numbers: DataFrame, registry: DataFrame, law: str | None, how: str)
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _numbers(collected: DataFrame, law: str | None) -> DataFrame:
+    """The distinct numbers, written once: each law's comparison reads them twice."""
+    return stage(law_filter(collected, law).select(*NUMBER_KEY).distinct(), "numbers")
+
+
 def new_numbers(collected: DataFrame, registry: DataFrame, law: str | None = None) -> DataFrame:
     """Distinct collected (law, notice_num) that the registry does not know."""
-    return _compare(collected.select(*NUMBER_KEY).distinct(), registry, law, "left_anti")
+    return _compare(_numbers(collected, law), registry, law, "left_anti")
 
 
 def known_numbers(collected: DataFrame, registry: DataFrame, law: str | None = None) -> DataFrame:
     """Distinct collected (law, notice_num) that the registry knows."""
-    return _compare(collected.select(*NUMBER_KEY).distinct(), registry, law, "left_semi")
+    return _compare(_numbers(collected, law), registry, law, "left_semi")
 
 
 def new_rows(
@@ -69,17 +74,28 @@ def new_rows(
     return skew_join(rows, new, NUMBER_KEY, "left_semi", spread_by, counts).select(*collected.columns)
 
 
+def numbers_per_list(collected: DataFrame) -> DataFrame:
+    """(list_id, law, notice_num, _found): how many rows were collected."""
+    return collected.groupBy("list_id", *NUMBER_KEY).agg(F.count(F.lit(1)).alias("_found"))
+
+
+def flagged_numbers(per_number: DataFrame, registry: DataFrame) -> DataFrame:
+    """Numbers per list, as written, with `_is_known`. A number may be on very many lists."""
+    counts = key_counts(per_number, NUMBER_KEY)
+    known = _compare(counts.select(*NUMBER_KEY), registry, None, "left_semi").withColumn("_is_known", F.lit(True))
+    return skew_join(per_number, known, NUMBER_KEY, "left", ["list_id"], counts)
+
+
 def run_report(collected: DataFrame, registry: DataFrame) -> DataFrame:
     """Per list and law: rows and distinct numbers found, and how many of them are new.
 
-    Rows are counted per (list, law, number) in the map tasks and written; one join flags
-    the numbers and a second count per list follows.
+    Rows are counted per (list, law, number) in the map tasks and written; the lists of each
+    number are counted from that, which also gives the distinct numbers that meet the
+    registry; one join flags the numbers and a second count per list follows.
     """
-    per_number = stage(collected.groupBy("list_id", *NUMBER_KEY).agg(F.count(F.lit(1)).alias("_found")), "per-number")
-    known = known_numbers(per_number, registry).withColumn("_is_known", F.lit(True))
     is_new = F.col("_is_known").isNull()
     return (
-        skew_join(per_number, known, NUMBER_KEY, "left", spread_by=["list_id"])
+        flagged_numbers(stage(numbers_per_list(collected), "per-number"), registry)
         .groupBy("list_id", "law")
         .agg(
             F.sum("_found").alias("found_rows"),

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from noticemill.functions import text
-from noticemill.operators.registry import NUMBER_KEY, known_numbers
-from noticemill.operators.skew import skew_join
+from noticemill.operators.registry import flagged_numbers, numbers_per_list
 from noticemill.session import stage
 from noticemill.sources.runs import write_run
 
@@ -54,11 +53,9 @@ def counted_run(
     row, also one without lists.
     """
     found, new = WorkerCounts(worker, workers), WorkerCounts(worker, workers)
-    per_number = collected.groupBy("list_id", *NUMBER_KEY).agg(F.count(F.lit(1)).alias("_found"))
-    per_number = stage(found.observe(per_number, found=F.col("_found"), numbers=F.lit(1)), "per-number")
-    known = known_numbers(per_number, registry)
-    lines = skew_join(per_number, known, NUMBER_KEY, "left_anti", spread_by=["list_id"])
-    lines = lines.select("list_id", text.output_line(F.col("notice_num")).alias("line"))
+    per_number = stage(found.observe(numbers_per_list(collected), found=F.col("_found"), numbers=F.lit(1)), "per-number")
+    new_numbers = flagged_numbers(per_number, registry).filter(F.col("_is_known").isNull())
+    lines = new_numbers.select("list_id", text.output_line(F.col("notice_num")).alias("line"))
     write_run(lines, path, run_at, lambda rows: new.observe(rows, numbers=F.lit(1)))
     columns = zip(range(workers), found.of("found"), found.of("numbers"), new.of("numbers"))
     return collected.sparkSession.createDataFrame(list(columns), REPORT)

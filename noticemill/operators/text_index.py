@@ -17,7 +17,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noticemill.operators.keywords import clauses_of, lists_satisfied
@@ -29,6 +29,8 @@ BUCKETS = 16
 LOOKED_UP = 3
 CODE_BITS = 21
 GRAM = 3
+# Bits of a place beside the number of its text.
+PLACE_BITS = 32
 
 TEXT = "portion bigint, text_no int, id bigint, text string, batch string"
 POSTING = "portion bigint, gram bigint, n int, texts array<int>, places array<int>, batch string, bucket int"
@@ -143,6 +145,11 @@ def _covers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["term", "key", "length", "offset"])
 
 
+def _text_no(at: Column) -> Column:
+    """The text of a place; a start before its text is a negative number added to it."""
+    return F.shiftright(at + F.lit(1 << PLACE_BITS - 1), PLACE_BITS).cast("int")
+
+
 def indexed_terms(spark: SparkSession, path: str, terms: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, term) for each of `terms` (lower case, not empty) that a text of the index contains.
 
@@ -160,14 +167,15 @@ def indexed_terms(spark: SparkSession, path: str, terms: DataFrame, id_col: str
     looked_up = long.join(counts, "gram", "left").withColumn("_rank", F.row_number().over(by_rarity)).filter(F.col("_rank") <= LOOKED_UP)
     looked_up = stage(looked_up.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("term"))), "looked-up")
 
-    # the lists of one portion meet in one group, at most LOOKED_UP of them
-    at = F.transform(F.arrays_zip("texts", "places"), lambda x: F.struct(x.texts.alias("text_no"), (x.places - F.col("offset")).alias("start")))
+    # the lists of one portion meet in one group, at most LOOKED_UP of them; a text and a start
+    # are one number, as arrays of structs are compared pair by pair, which is quadratic
+    at = F.zip_with("texts", "places", lambda text_no, place: F.shiftleft(text_no.cast("bigint"), PLACE_BITS) + place - F.col("offset"))
     lists = postings.join(looked_up.filter("_rank > 0"), ["bucket", "gram"]).groupBy("batch", "portion", "term").agg(
         F.collect_list(at).alias("lists"), F.first("_size").alias("_size")
     )
     common = F.aggregate(F.slice("lists", 2, LOOKED_UP), F.get("lists", F.lit(0)), lambda a, b: F.array_intersect(a, b))
     met = lists.filter(F.size("lists") == F.col("_size")).select(
-        "batch", "portion", "term", F.array_distinct(F.transform(common, lambda x: x.text_no)).alias("texts")
+        "batch", "portion", "term", F.array_distinct(F.transform(common, _text_no)).alias("texts")
     )
     for length in range(1, GRAM):
         short = cover.filter(F.col("length") == length).select("term", "key")

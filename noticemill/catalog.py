@@ -606,7 +606,12 @@ def stream_contiguous_pages(t: Fixtures) -> DataFrame:
 
 @query
 def stream_kw_44(t: Fixtures) -> DataFrame:
-    """Both policies over notices, texts and attachments that land in three portions, each in another order."""
+    """Both policies over notices, texts and attachments that land in three portions, each in another order.
+
+    The streams go on after each portion: the number of files it has, which grows with the
+    tables, then makes no more batches.
+    """
+    out, state = ({p: new_path(t.spark, n) for p in keywords.POLICIES} for n in ("matches", "matches-state"))
     notices, texts = new_path(t.spark, "landed-notices"), new_path(t.spark, "landed-texts")
     own = t.notices.select("notice_id", "law", "notice_num", "published_on")
     for i in range(3):
@@ -614,14 +619,14 @@ def stream_kw_44(t: Fixtures) -> DataFrame:
         own.filter(F.col("notice_id") % 3 == i).select("*", at).write.mode("append").parquet(notices)
         parts = t.documents.filter(F.col("doc_id") % 3 == (i + 1) % 3).select("doc_id", "text")
         parts = parts.unionByName(_attachments(t).filter(F.col("doc_id") % 3 == (i + 2) % 3))
-        parts.select("*", at).coalesce(1).write.mode("append").parquet(texts)
-    schema = t.spark.read.parquet(notices).schema
+        parts.select("*", at).write.mode("append").parquet(texts)
+        schema = t.spark.read.parquet(notices).schema
+        for policy in keywords.POLICIES:
+            stream_keyword_run(
+                t.spark, notices, schema, texts, _terms(t.lists), lambda: t.registry, out[policy], state[policy], "44", policy, (AS_OF, 2000)
+            ).awaitTermination()
     runs = []
     for policy in keywords.POLICIES:
-        out, state = new_path(t.spark, "matches"), new_path(t.spark, "matches-state")
-        stream_keyword_run(
-            t.spark, notices, schema, texts, _terms(t.lists), lambda: t.registry, out, state, "44", policy, (AS_OF, 2000), files_per_batch=1
-        ).awaitTermination()
-        lines_of = t.spark.read.schema("list_id string, notice_num string").parquet(f"{out}/lines")
+        lines_of = t.spark.read.schema("list_id string, notice_num string").parquet(f"{out[policy]}/lines")
         runs.append(lines_of.select(F.lit(policy).alias("policy"), "list_id", F.col("notice_num").alias("line")))
     return runs[0].unionByName(runs[1])

@@ -595,12 +595,12 @@ def stream_open_notices(t: Fixtures) -> DataFrame:
 
 @query
 def stream_contiguous_pages(t: Fixtures) -> DataFrame:
-    """All result pages landed in three files, later pages first, streamed with one file per batch."""
+    """All result pages landed in three portions, later pages first; the stream goes on after each."""
     landed, out, state = (new_path(t.spark, f"pages-{n}") for n in ("landed", "out", "state"))
     found = t.search_pages
     for i in (2, 0, 1):
-        found.filter(F.col("page_num") % 3 == i).coalesce(1).write.mode("append").parquet(landed)
-    stream_pages(t.spark, landed, out, state, found.schema, files_per_batch=1).awaitTermination()
+        found.filter(F.col("page_num") % 3 == i).write.mode("append").parquet(landed)
+        stream_pages(t.spark, landed, out, state, found.schema).awaitTermination()
     return t.spark.read.parquet(out).filter("not coalesce(given_up, false)").select("search_id", "page_num", "card_pos", "label", "href")
 
 

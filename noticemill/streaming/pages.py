@@ -19,13 +19,18 @@ from noticemill.streaming.reruns import stream_settings
 PAGE_SCHEMA = "search_id bigint, page_num int, html string"
 # A page that is handed on, or one given up: its search waited too long for a page before it.
 RELEASED = "search_id bigint, page_num int, html string, given_up boolean"
+# Page numbers of one block of waiting pages, and what a task holds before it adds to the blocks.
+BLOCK_PAGES = 256
+HELD_PAGES = 4096
+HELD_CHARACTERS = 16_000_000
 
 
 class PagesInOrder(StatefulProcessor):
     """Per search the page it waits for, and the pages landed beyond it.
 
-    A search's pages are handled as they come, some hundred at a time; waiting pages are
-    entries of their own in the state store, so a search may have any number of them.
+    A search's pages are handled as they come, some hundred at a time. Those that wait are
+    kept by blocks of `BLOCK_PAGES` page numbers; what a batch adds to a block is an entry of
+    its own, so the state is asked once for many pages, and a search may have any number.
     """
 
     def __init__(self, patience_ms: int | None) -> None:
@@ -34,12 +39,14 @@ class PagesInOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.search = handle.getValueState("search", "next int, moved_ms bigint")
-        self.waiting = handle.getMapState("waiting", "page_num int", "htmls array<string>")
+        self.entries = handle.getMapState("entries", "block int", "n int")
+        self.waiting = handle.getMapState("waiting", "block int, entry int", "pages array<int>, htmls array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        first, moved = self.search.get() if self.search.exists() else (1, now)
-        following, held = first, False
+        known = self.search.exists()
+        first, moved = self.search.get() if known else (1, now)
+        following, held, buffer, size = first, False, [], 0
         for part in rows:
             out = []
             for page, html in sorted(zip(part["page_num"], part["html"]), key=lambda row: row[0]):
@@ -47,28 +54,66 @@ class PagesInOrder(StatefulProcessor):
                     out.append((page, html))
                     following = max(following, page + 1)
                 else:
-                    before = list(self.waiting.getValue((page,))[0]) if self.waiting.containsKey((page,)) else []
-                    self.waiting.updateValue((page,), ([*before, html],))
-                    held = True
+                    buffer.append((page, html))
+                    size += len(html or "")
+            if len(buffer) >= HELD_PAGES or size >= HELD_CHARACTERS:
+                self._hold(buffer)
+                held, buffer, size = True, [], 0
             yield self._pages(key, out, False)
-        while self.waiting.exists() and self.waiting.containsKey((following,)):
-            yield self._pages(key, [(following, html) for html in self.waiting.getValue((following,))[0]], False)
-            self.waiting.removeKey((following,))
-            following += 1
+        if buffer:
+            self._hold(buffer)
+            held = True
+        # the awaited page of a search that has not moved is not among the waiting ones
+        block = first // BLOCK_PAGES
+        while following != first and block <= following // BLOCK_PAGES:
+            found = self.entries.getValue((block,))
+            out, left = [], []
+            for page, html in sorted(self._drop(block, found[0]) if found else [], key=lambda row: row[0]):
+                if page <= following:
+                    out.append((page, html))
+                    following = max(following, page + 1)
+                else:
+                    left.append((page, html))
+            self._hold(left)
+            if out:
+                yield self._pages(key, out, False)
+            block += 1
         if following != first:
             moved = now
-        if following != first or not self.search.exists():
+        if following != first or not known:
             self.search.update((following, moved))
         if self.patience_ms is not None and (held or self.waiting.exists()):
             self.handle.registerTimer(now + self.patience_ms)
 
+    def _hold(self, rows: list[tuple]) -> None:
+        """Add pages to those that wait: one entry in each block they are of."""
+        blocks: dict[int, list[tuple]] = {}
+        for row in rows:
+            blocks.setdefault(row[0] // BLOCK_PAGES, []).append(row)
+        for block, own in blocks.items():
+            found = self.entries.getValue((block,))
+            n = found[0] if found else 0
+            self.waiting.updateValue((block, n), ([int(page) for page, _ in own], [html for _, html in own]))
+            self.entries.updateValue((block,), (n + 1,))
+
+    def _drop(self, block: int, n: int) -> list[tuple]:
+        """The pages of a block, which no longer wait."""
+        rows = []
+        for entry in range(n):
+            pages, htmls = self.waiting.getValue((block, entry))
+            rows += zip(pages, htmls)
+            self.waiting.removeKey((block, entry))
+        self.entries.removeKey((block,))
+        return rows
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Give up the waiting pages of a search that has not moved for so long."""
         _, moved = self.search.get() if self.search.exists() else (1, 0)
         if timerValues.getCurrentProcessingTimeInMs() - moved >= self.patience_ms and self.waiting.exists():
-            for (page,), (htmls,) in self.waiting.iterator():
-                yield self._pages(key, [(page, html) for html in htmls], True)
+            for _, (pages, htmls) in self.waiting.iterator():
+                yield self._pages(key, list(zip(pages, htmls)), True)
             self.waiting.clear()
+            self.entries.clear()
 
     def _pages(self, key, pages: list[tuple], given_up: bool) -> pd.DataFrame:
         return pd.DataFrame([(key[0], page, html, given_up) for page, html in pages], columns=["search_id", "page_num", "html", "given_up"])

@@ -1,8 +1,8 @@
 """Search runs: from notices or result pages, lists and registry to output lines.
 
 The order of steps is chosen for scale: law, window and number validity reach the notice
-scan; notices the registry knows are dropped before any text or item is searched or any
-detail page looked up.
+scan; notices the registry knows are dropped before any item is searched or any detail page
+looked up. Texts are searched in place, so that none is shuffled.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def wanted_notices(
 
 
 def of_wanted(rows: DataFrame, wanted: DataFrame, id_col: str) -> DataFrame:
-    """The rows (texts, items) of the wanted notices.
+    """The rows (items, say) of the wanted notices.
 
     Spark broadcasts the ids when it finds them small; else it joins by id, and rows landed
     in a table bucketed by id are not shuffled for it.
@@ -67,12 +67,16 @@ def keyword_hits(
     id_col: str = "doc_id",
     attachments: DataFrame | None = None,
 ) -> DataFrame:
-    """(list_id, notice columns…) of the given notices whose text, or attachments, match a list."""
+    """(list_id, notice columns…) of the given notices whose text, or attachments, match a list.
+
+    The texts are searched where they lie and only what is found meets the notices: cut by
+    id before, all texts would be shuffled once the ids are too many to be broadcast.
+    """
     clauses = clauses_of(lists, policy) if chunks is None or policy == "any" else clauses_per_chunk(lists, chunks)
     parts = texts.select(id_col, "text")
     if attachments is not None:
         parts = parts.unionByName(attachments.select(id_col, "text"))
-    matches = keyword_matches(of_wanted(parts, notices, id_col), clauses, id_col)
+    matches = keyword_matches(parts, clauses, id_col)
     return notices.join(matches.withColumnRenamed(id_col, "notice_id"), "notice_id")
 
 

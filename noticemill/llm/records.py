@@ -104,14 +104,13 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, file_bytes: int =
         data, offsets = f"data-{name}.bin", f"offsets-{name}.idx"
         n_records = n_ids = place = 0
         with folder.open_output_stream(f"{root}/{data}") as out, folder.open_output_stream(f"{root}/{offsets}") as index:
-            for batch in batches:
-                for doc_id, ids in zip(batch.column(0).to_pylist(), encode.encode_all(batch.column(1).to_pylist())):
-                    record = framed(doc_id, ids, encode.width)
-                    out.write(record)
-                    index.write(struct.pack("<Q", place))
-                    place += len(record)
-                    n_records += 1
-                    n_ids += len(ids) // encode.width
+            for doc_id, ids in encode.encode_batches(batches):
+                record = framed(doc_id, ids, encode.width)
+                out.write(record)
+                index.write(struct.pack("<Q", place))
+                place += len(record)
+                n_records += 1
+                n_ids += len(ids) // encode.width
         if n_records:
             columns = [[number], [data], [offsets], [n_records], [n_ids]]
             types = (pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64())

@@ -1,7 +1,9 @@
+import copy
 import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -72,6 +74,44 @@ def test_forgetting_pieces_changes_nothing(library, monkeypatch):
         same(library, small, text)
 
 
+def test_pieces_are_remembered_without_the_marks_around_them(library):
+    own = tokens.Encoder(tokenizer_path())
+    texts = ["one two, two. two; (two)\ntwo!", None, "two, one. \"two\" it's two's", "one\n\ntwo, one"]
+    for text, got in zip(texts, own.encode_all(texts)):
+        assert np.frombuffer(got, own.type).tolist() == ids(library, text)
+    words = {piece for piece in own.seen if b"two" in piece or b"one" in piece}
+    assert words == {b"one", b" two", b" (two", b"\ntwo", b"two", b" one", b' "two', b" two's", b"one\n\ntwo"}
+    # known words with other marks behind them are not encoded again, nor are pieces of the same column twice
+    calls = []
+    learn = own._learn
+    own._learn = lambda pieces: (calls.append(sorted(pieces)), learn(pieces))
+    own.encode_all(["one two: two: two:"] * 3)
+    assert calls == [[b":"]]
+
+
+def test_columns_and_batches(library, encoder, monkeypatch):
+    texts = [None, "a, b", "", "c\n\nd e", "f\ng", "x <|endoftext|>", None, " h", "", "i j\n", "é, ü.", None]
+    for column in (pa.array(texts), pa.array(texts, pa.large_string()), pa.array(texts).slice(3, 6), pa.array([None, ""]), pa.array(["q"]).slice(1)):
+        got = [np.frombuffer(raw, encoder.type).tolist() for raw in encoder.encode_column(column)]
+        assert got == [ids(library, text) for text in column.to_pylist()]
+    numbers = [None, *range(len(texts) - 1)]
+    batch = pa.record_batch([pa.array(numbers), pa.array(texts)], names=["doc_id", "text"])
+    want = [(n, ids(library, text)) for n, text in zip(numbers, texts)]
+    for size in (1, 1 << 20):
+        monkeypatch.setattr(tokens, "COLUMN_BYTES", size)
+        got = [(n, np.frombuffer(raw, encoder.type).tolist()) for n, raw in encoder.encode_batches(iter([batch.slice(0, 5), batch.slice(5)]))]
+        assert got == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("ab'sZ09.,-_\"(é“ \n\u3000")), max_size=30), max_size=4))
+def test_marks_beside_words(library, encoder, texts):
+    own = copy.copy(encoder)
+    own.seen, own.held = {}, 0
+    for text, got in zip(texts, own.encode_all(texts)):
+        assert np.frombuffer(got, own.type).tolist() == ids(library, text)
+
+
 def expected_records(library, docs):
     start, out = 0, []
     for doc_id, text in sorted(docs, key=lambda d: (d[0] is not None, d[0])):

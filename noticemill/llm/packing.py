@@ -175,19 +175,18 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, held: int = HELD
                     yield out()
             rests.clear()
 
-        for batch in batches:
-            for doc_id, raw in zip(batch.column(0).to_pylist(), encode.encode_all(batch.column(1).to_pylist())):
-                n_ids = len(raw) // width
-                doc, whole = (doc_id, n_ids), n_ids - n_ids % window
-                for start in range(0, whole, window):
-                    rows.append(piece(doc, start, raw[start * width : (start + window) * width], number, 0))
-                    number += 1
-                    if len(rows) >= BATCH_ROWS:
-                        yield out()
-                if whole < n_ids:
-                    rests.append((doc, whole, raw[whole * width :]))
-                    if len(rests) >= held:
-                        yield from flush()
+        for doc_id, raw in encode.encode_batches(batches):
+            n_ids = len(raw) // width
+            doc, whole = (doc_id, n_ids), n_ids - n_ids % window
+            for start in range(0, whole, window):
+                rows.append(piece(doc, start, raw[start * width : (start + window) * width], number, 0))
+                number += 1
+                if len(rows) >= BATCH_ROWS:
+                    yield out()
+            if whole < n_ids:
+                rests.append((doc, whole, raw[whole * width :]))
+                if len(rests) >= held:
+                    yield from flush()
         yield from flush()
         if rows:
             yield out()

@@ -7,6 +7,8 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import TaskContext
+from pyspark.sql import Row
 
 from noticemill.llm import packing, records, tokens
 from noticemill.llm.queries import queries, tokenizer_path
@@ -205,6 +207,29 @@ def test_packing_edge_documents(spark, library):
     assert both.agg({"length": "sum"}).first()[0] == sum(len(ids(library, t)) for _, t in rows_of(edge_documents(spark)))
 
 
+def test_packing_encodes_batches_together(library, monkeypatch):
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    class Task:
+        def partitionId(self):
+            return 3
+
+    columns = []
+    of_column = tokens.Encoder.encode_column
+    monkeypatch.setattr(tokens.Encoder, "encode_column", lambda self, texts: columns.append(len(texts)) or of_column(self, texts))
+    monkeypatch.setattr(TaskContext, "get", Task)
+    docs = [(n, f"word {n}, and word {n + 1}.") for n in range(40)]
+    batches = [pa.record_batch([pa.array([n]), pa.array([text])], names=["doc_id", "text"]) for n, text in docs]
+    pieces = pa.Table.from_batches(packing.pack(Docs(), tokenizer_path())(iter(batches))).to_pylist()
+    assert columns == [40]
+    assert check_pieces([Row(**piece) for piece in pieces], docs, library) == 0
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 63), max_size=40))
 def test_every_rest_is_packed(lengths):

@@ -178,12 +178,14 @@ class Encoder:
         """(doc_id, ids with the end id) of each row of batches of (doc_id, text), some of them at once."""
         some: list[pa.RecordBatch] = []
         size = 0
-        for batch in batches:
-            some.append(batch)
-            size += batch.column(1).nbytes
-            if size >= COLUMN_BYTES:
-                yield from self._encode_some(some)
-                some, size = [], 0
+        for whole in batches:
+            step = max(1, whole.num_rows * COLUMN_BYTES // max(1, whole.column(1).nbytes))
+            for batch in [whole.slice(a, step) for a in range(0, whole.num_rows, step)]:
+                some.append(batch)
+                size += batch.column(1).nbytes
+                if size >= COLUMN_BYTES:
+                    yield from self._encode_some(some)
+                    some, size = [], 0
         if some:
             yield from self._encode_some(some)
 

@@ -26,7 +26,7 @@ ENTRY_BYTES = 200
 # Bytes of the new pieces in one call of the library.
 CALL_BYTES = 1 << 20
 # Text that is encoded at once, in bytes.
-COLUMN_BYTES = 8 << 20
+COLUMN_BYTES = 1 << 20
 # How the vocabulary writes the space before a word.
 SPACE_MARK = "Ġ"
 # Kinds of ASCII characters, by byte.

@@ -35,7 +35,7 @@ GRAM = 3
 # Places in a row of the postings at most; a frequent gram has several rows in a portion.
 LIST_PLACES = 16_384
 # Places that are handled at a time.
-STEP = 1 << 20
+STEP = 1 << 18
 
 TEXT = "portion bigint, start bigint, id bigint, text string, batch string"
 POSTING = "portion bigint, gram bigint, n int, places binary, batch string, bucket int"
